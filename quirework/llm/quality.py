@@ -102,12 +102,23 @@ class Accuracies:
         return {x: float((p * g[1] + (1 - p) * b[0]) / (p * (g[0] + g[1]) + (1 - p) * (b[0] + b[1]))) for x, g, b in zip(LABELLERS, self.good, self.bad)}
 
 
-_RUNS = re.compile(r"(.)\1+")
+_RUNS = re.compile(r"([^\n])\1+")
 
 
-def shape(w: str) -> str:
-    s = "".join("A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c for c in w[:32])
-    return _RUNS.sub(r"\1\1", s)[-6:] + str(min(len(w) // 4, 4))
+class _Shapes(dict):
+    def __missing__(self, code: int) -> int:
+        c = chr(code)
+        self[code] = ord("A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c)
+        return self[code]
+
+
+_SHAPES = _Shapes({10: 10})
+
+
+def shapes(words: list[str]) -> list[str]:
+    """The last signs of each word, letters as a or A, digits as 0, runs as two, and its size."""
+    all_of = _RUNS.sub(r"\1\1", "\n".join(words).translate(_SHAPES)).split("\n")
+    return [s[-6:] + str(min(len(w) // 4, 4)) for s, w in zip(all_of, words)]
 
 
 def _bucket(x: str) -> int:
@@ -123,6 +134,7 @@ class Features:
 
     def __init__(self, most: int = 500_000):
         self.known: dict[str, int] = {}
+        self.shapes: dict[str, int] = {}
         self.most = most
 
     def of(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
@@ -132,9 +144,14 @@ class Features:
             return np.zeros(0, np.int64), np.zeros(0)
         if len(self.known) > self.most:
             self.known.clear()
+            self.shapes.clear()
         known, distinct = self.known, set(w)
-        for x in distinct - known.keys():
-            known[x] = _bucket(shape(x))
+        new = [x for x in distinct if x not in known]
+        for x, s in zip(new, shapes(new) if new else ()):
+            at = self.shapes.get(s)
+            if at is None:
+                at = self.shapes[s] = _bucket(s)
+            known[x] = at
         c = np.bincount(np.fromiter(map(known.__getitem__, w), np.int64, len(w)), minlength=BUCKETS).astype(np.float64)
         c[_REPEAT] += sum(map(eq, w, w[1:]))
         c[_STOPS] += sum(map(_STOP.__contains__, w))
@@ -154,19 +171,20 @@ def fit_scorer(rows: list[tuple[list[int], list[float], float]]) -> np.ndarray:
         x[r, at] = v
     x[:, -1] = 1
     live = np.flatnonzero((x != 0).sum(0) >= min(3, len(rows)))
-    x, y = x[:, live], np.array([q for *_, q in rows])
+    x, y = np.ascontiguousarray(x[:, live]), np.array([q for *_, q in rows], np.float32)
     # each class weighs as its share, but a rare one at least a fifth
     p = float(np.clip(y.mean(), 1e-3, 1 - 1e-3))
     cost = y * max(1, 0.2 / p) + (1 - y) * max(1, 0.2 / (1 - p))
-    u = np.ones(len(live))
+    u = np.ones(len(live), np.float32)
     for _ in range(30):  # the largest eigenvalue, for the step
         u = x.T @ (x @ (u / max(np.linalg.norm(u), 1e-12)))
     step = 4 / (1.1 * np.linalg.norm(u) / len(y) * cost.max() + 4 * RIDGE)
-    v = old = np.zeros(len(live))
+    v = old = np.zeros(len(live), np.float32)
+    cost, step, ridge = cost.astype(np.float32), np.float32(step), np.float32(RIDGE)
     for t in range(400):
-        g = x.T @ (cost * (1 / (1 + np.exp(-(x @ v))) - y)) / len(y) + RIDGE * v
+        g = x.T @ (cost * (1 / (1 + np.exp(-(x @ v))) - y)) / np.float32(len(y)) + ridge * v
         new = v - step * g
-        v, old = new + t / (t + 3) * (new - old), new
+        v, old = new + np.float32(t / (t + 3)) * (new - old), new
     w[live] = old
     return w
 
