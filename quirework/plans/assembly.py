@@ -1,2 +1,283 @@
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+"""Queries of the document engine over the test tables, each with SQL that says the same."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..operators import cleanup, layout, merge, order, split, status
+
+H1 = F.regexp_extract("html", "(?s)<h1[^>]*>(.*?)</h1>", 1)
+
+
+def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def rough_merge(spark, sf_dir):
+    c = _t(spark, sf_dir, "conversations").withColumnRenamed("conv_id", "book")
+    return merge.join_pages(c, "book", ["turn"])
+
+
+def rough_document(spark, sf_dir):
+    c = _t(spark, sf_dir, "conversations").select(F.col("conv_id").alias("book"), "turn", F.concat(F.lit("## "), "role", F.lit("\n\n\n"), "text").alias("text"))
+    return merge.rough_merge(c, "book", ["turn"])
+
+
+def final_merge(spark, sf_dir):
+    c = _t(spark, sf_dir, "conversations").select(F.col("conv_id").alias("book"), "text", F.when(F.col("role") == "system", F.concat(F.lit("x"), "turn", F.lit(".md"))).otherwise(F.concat("turn", F.lit(".md"))).alias("file_name"))
+    c = c.withColumn("number", order.prefix_number(F.col("file_name")))
+    return merge.final_merge(c, "book", ["number", "file_name"])
+
+
+def natural_sort_rank(spark, sf_dir):
+    from pyspark.sql import Window
+
+    p = _t(spark, sf_dir, "pages").select("page_id", "url", F.regexp_extract("url", "^[a-z]+://([^/]*)", 1).alias("host"))
+    w = Window.partitionBy("host").orderBy(order.natural_key(F.col("url")), "url", "page_id")
+    return p.select("page_id", F.row_number().over(w).cast("bigint").alias("rank"))
+
+
+def _headings(spark, sf_dir):
+    return _t(spark, sf_dir, "pages").select((F.col("page_id") % 10).alias("book"), F.col("page_id").alias("line_no"), F.concat(F.repeat(F.lit("#"), (F.col("page_id") % 3 + 1).cast("int")), F.lit(" "), H1).alias("line"))
+
+
+def heading_dedupe(spark, sf_dir):
+    return merge.dedupe_headings(_headings(spark, sf_dir), ["book"]).select("book", "line_no", "line")
+
+
+def blank_collapse(spark, sf_dir):
+    return merge.collapse_blanks(merge.dedupe_headings(_headings(spark, sf_dir), ["book"]), ["book"]).select("book", "line_no", "line")
+
+
+def h1_split(spark, sf_dir):
+    p = _t(spark, sf_dir, "pages").select((F.col("page_id") % 10).alias("book"), "page_id", F.concat(F.lit("# "), H1, F.lit("\n"), "url").alias("text"))
+    docs = merge.join_pages(p, "book", ["page_id"]).withColumn("text", F.concat(F.lit("preamble\n"), "text"))
+    return split.split_chapters(docs, ["book"]).select("book", F.col("idx").cast("bigint").alias("idx"), "title", "file_name", "text")
+
+
+def safe_title(spark, sf_dir):
+    return _t(spark, sf_dir, "pages").select("page_id", split.safe_title(F.col("url")).alias("safe_title"))
+
+
+def line_explode(spark, sf_dir):
+    return merge.to_lines(_t(spark, sf_dir, "documents"), ["doc_id"]).select("doc_id", F.col("line_no").cast("bigint").alias("line_no"), "line")
+
+
+def _derived(spark, sf_dir):
+    x = merge.to_lines(_t(spark, sf_dir, "documents"), ["doc_id"])
+    k = (F.col("doc_id") + F.col("line_no")) % 10
+    line = F.col("line")
+    for i, prefix in enumerate(("# ", "  ", "<sup>", "\U0001f004️", "【", "（", "1999 ", " #")):
+        line = F.when(k == i, F.concat(F.lit(prefix), F.col("line"))).otherwise(line)
+    line = F.when(k == 8, F.concat("line", F.lit("-"))).otherwise(line)
+    return x.select("doc_id", "line_no", line.alias("line"))
+
+
+def line_features(spark, sf_dir):
+    return layout.features(_derived(spark, sf_dir)).select("doc_id", F.col("line_no").cast("bigint").alias("line_no"), *layout.FEATURES)
+
+
+def layout_blocks(spark, sf_dir):
+    return layout.blocks(_derived(spark, sf_dir), ["doc_id"]).select("doc_id", F.col("line_no").cast("bigint").alias("line_no"), "block_no", "starts", "indents")
+
+
+def layout_reflow(spark, sf_dir):
+    return layout.reflow(_derived(spark, sf_dir), ["doc_id"])
+
+
+def layout_index_mode(spark, sf_dir):
+    return layout.reflow(_derived(spark, sf_dir), ["doc_id"], F.col("doc_id") % 10 == 0)
+
+
+def typeset_chapters(spark, sf_dir):
+    x = _derived(spark, sf_dir).groupBy("doc_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "line"))), lambda s: s["line"]), "\n").alias("text"))
+    x = x.withColumn("file_name", F.concat("doc_id", F.when(F.col("doc_id") % 10 == 0, ".目录.md").otherwise(".md")))
+    return layout.typeset(x, ["doc_id"])
+
+
+_LATIN, _HAN = "abcdefghij", "甲乙丙丁戊己庚辛壬癸"
+
+
+def cjk_char_run(spark, sf_dir):
+    t = F.translate(F.regexp_replace("text", "[^a-j]", ""), _LATIN, _HAN[:2] * 5)
+    return _t(spark, sf_dir, "documents").select("doc_id", cleanup.character_runs(t).alias("text"))
+
+
+def cjk_word_repeat(spark, sf_dir):
+    t = F.translate(F.regexp_replace("text", "[^a-j]", ""), _LATIN, _HAN[:3] * 3 + _HAN[3])
+    return _t(spark, sf_dir, "documents").select("doc_id", cleanup.word_repeats(t).alias("text"))
+
+
+def note_flatten(spark, sf_dir):
+    return _t(spark, sf_dir, "documents").select("doc_id", cleanup.flatten_notes(F.concat(F.lit("a\n<sup>"), "text", F.lit("</sup>\nb"))).alias("text"))
+
+
+def contiguous_max(spark, sf_dir):
+    return order.contiguous_max(_t(spark, sf_dir, "labels"), "doc_id")
+
+
+def resume_range(spark, sf_dir):
+    return status.resume_range(_t(spark, sf_dir, "labels"), _t(spark, sf_dir, "documents"), "doc_id")
+
+
+def pending_pages(spark, sf_dir):
+    return status.pending(_t(spark, sf_dir, "documents").select("doc_id"), _t(spark, sf_dir, "labels"), ["doc_id"])
+
+
+def index_range(spark, sf_dir):
+    return status.in_range(_t(spark, sf_dir, "documents"), 100, 499, "doc_id").select("doc_id", "lang")
+
+
+def page_status(spark, sf_dir):
+    labels = _t(spark, sf_dir, "labels")
+    s = status.page_status(_t(spark, sf_dir, "documents"), labels.where("quality = 1"), labels.where("quality = 0"), ["doc_id"])
+    return s
+
+
+def status_counts(spark, sf_dir):
+    return page_status(spark, sf_dir).groupBy("status").agg(F.count("*").alias("n"))
+
+
+def fail_listing(spark, sf_dir):
+    files = _t(spark, sf_dir, "labels").select(F.concat("doc_id", F.when(F.col("quality") == 0, ".fail.md").otherwise(".md")).alias("file_name"))
+    return status.failed_pages(files).select("page_no", status.image_path(F.col("page_no"), root="book").alias("path"))
+
+
+def index_lookup(spark, sf_dir):
+    files = _t(spark, sf_dir, "part").select(F.concat((F.col("p_partkey") % 50).cast("string"), F.lit("."), "p_name", F.lit(".md")).alias("file_name"))
+    wanted = _t(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("bigint").alias("idx"))
+    return order.first_match(files, wanted)
+
+
+def requested_files(spark, sf_dir):
+    wanted = _t(spark, sf_dir, "labels").select((F.col("doc_id") * 3).alias("doc_id"))
+    have = _t(spark, sf_dir, "documents").select("doc_id")
+    return wanted.join(have, "doc_id", "left_semi").withColumn("found", F.lit(True)).union(wanted.join(have, "doc_id", "left_anti").withColumn("found", F.lit(False)))
+
+
+def mime_guess(spark, sf_dir):
+    exts = F.array(*map(F.lit, ("jpg", "JPEG", "png", "webp", "bmp", "tif", "TIFF", "gif")))
+    path = F.concat(F.lit("images/"), "doc_id", F.lit("."), F.get(exts, (F.col("doc_id") % 8).cast("int")))
+    return _t(spark, sf_dir, "documents").select("doc_id", status.mime_type(path).alias("mime"))
+
+
+def response_text(spark, sf_dir):
+    e = _t(spark, sf_dir, "events")
+    text = F.when(F.col("event_id") % 3 == 0, F.col("props"))
+    parts = F.array(F.lit("a"), F.lit(""), F.col("event_type"), F.when(F.col("event_id") % 2 == 0, F.lit(" b ")))
+    reason = F.when(F.col("event_id") % 5 == 0, F.lit("finish_recitation")).otherwise(F.col("event_type"))
+    return e.select("event_id", status.response_text(text, parts).alias("text"), status.is_refusal(reason).alias("refused"))
+
+
+def retry_first_success(spark, sf_dir):
+    e = _t(spark, sf_dir, "events").select("user_id", "ts", "event_id", F.when(F.col("event_id") % 4 == 0, F.col("event_type")).otherwise(F.lit("")).alias("text"), F.when(F.col("event_id") % 11 == 0, F.lit("PROHIBITED_CONTENT")).alias("finish_reason"))
+    return status.first_success(e, ["user_id"], ["ts", "event_id"]).withColumn("attempt", F.col("attempt").cast("bigint"))
+
+
+def batch_assign(spark, sf_dir):
+    return order.batches(_t(spark, sf_dir, "documents"), ["doc_id"], 3, ["lang"]).select("lang", "doc_id", "batch")
+
+
+def progress(spark, sf_dir):
+    docs = _t(spark, sf_dir, "documents").join(_t(spark, sf_dir, "labels").select("doc_id").distinct().withColumn("done", F.lit(1)), "doc_id", "left")
+    g = docs.groupBy("source").agg(F.count("done").alias("done"), F.count("*").alias("total"))
+    return g.select("source", "done", "total", status.progress(F.col("done"), F.col("total")).alias("percent"))
+
+
+def downscale_dims(spark, sf_dir):
+    w, h = F.col("p_size") * 37, F.col("p_partkey") % 900 + 100
+    w2, h2 = status.downscaled(w, h, 300)
+    return _t(spark, sf_dir, "part").select("p_partkey", w2.cast("bigint").alias("w"), h2.cast("bigint").alias("h"), F.round(status.dpi_scale(F.col("p_size") * 6), 6).alias("scale"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        rough_merge, rough_document, final_merge, natural_sort_rank, heading_dedupe, blank_collapse, h1_split, safe_title, line_explode, line_features,
+        layout_blocks, layout_reflow, layout_index_mode, typeset_chapters, cjk_char_run, cjk_word_repeat, note_flatten, contiguous_max, resume_range,
+        pending_pages, index_range, page_status, status_counts, fail_listing, index_lookup, requested_files, mime_guess, response_text,
+        retry_first_success, batch_assign, progress, downscale_dims,
+    )
+}
+
+_NL = "chr(10)"
+_LINES = "SELECT doc_id, generate_subscripts(ls, 1) - 1 AS line_no, unnest(ls) AS line FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents)"
+_DERIVED = f"""SELECT doc_id, line_no, CASE (doc_id + line_no) % 10 WHEN 0 THEN '# ' || line WHEN 1 THEN '  ' || line WHEN 2 THEN '<sup>' || line
+    WHEN 3 THEN chr(126980) || chr(65039) || line WHEN 4 THEN '【' || line WHEN 5 THEN '（' || line WHEN 6 THEN '1999 ' || line WHEN 7 THEN ' #' || line WHEN 8 THEN line || '-' ELSE line END AS line FROM ({_LINES})"""
+_FEATURES = f"""SELECT *, starts_with(line, '#') AS is_heading, starts_with(line, '  ') AS is_indented, contains(line, chr(126980)) AS is_figure, starts_with(line, '<sup>') AS is_note,
+    regexp_matches(line, '^[【（]') AS is_bracket, regexp_matches(stripped, '^[0-9]{{4}}(\\.\\.\\.)?\\s+') AS is_date, length(stripped) < 50 AND NOT regexp_matches(stripped, '[。！？]') AS is_short
+    FROM (SELECT *, trim(line, ' ' || chr(9) || chr(10)) AS stripped FROM ({_DERIVED})) WHERE stripped <> ''"""
+
+
+def _blocks_sql(index: str) -> str:
+    return f"""SELECT *, coalesce(lead(starts) OVER w, true) AS is_last, starts AND coalesce(lag(starts AND is_hash) OVER w, false)
+            AND NOT (is_heading OR is_figure OR is_note OR is_bracket OR is_date OR is_indented) AS indents,
+            sum(starts::INT) OVER (PARTITION BY doc_id ORDER BY line_no) AS block_no
+        FROM (SELECT *, is_local OR coalesce(last_local > coalesce(last_free, 0), false) AS starts
+            FROM (SELECT *, max(CASE WHEN is_local THEN rn END) OVER b AS last_local, max(CASE WHEN NOT is_hash THEN rn END) OVER b AS last_free
+                FROM (SELECT *, starts_with(stripped, '#') AS is_hash, rn = 1 OR {index} OR is_heading OR is_indented OR is_figure OR is_note OR is_bracket OR is_date OR is_short AS is_local
+                    FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY line_no) AS rn FROM ({_FEATURES})))
+                WINDOW b AS (PARTITION BY doc_id ORDER BY line_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)))
+        WINDOW w AS (PARTITION BY doc_id ORDER BY line_no)"""
+
+
+def _reflow_sql(index: str) -> str:
+    return f"""SELECT doc_id, block_no::BIGINT AS block_no, string_agg(CASE WHEN NOT is_last AND ends_with(p, '-') THEN left(p, length(p) - 1) ELSE p END, '' ORDER BY line_no) AS text
+        FROM (SELECT *, CASE WHEN indents THEN '  ' || stripped WHEN starts THEN rtrim(line, ' ' || chr(9)) ELSE stripped END AS p FROM ({_blocks_sql(index)})) GROUP BY doc_id, block_no"""
+
+
+_H1 = "regexp_extract(html, '(?s)<h1[^>]*>(.*?)</h1>', 1)"
+_HEADS = f"SELECT page_id % 10 AS book, page_id AS line_no, {_H1} AS title, repeat('#', (page_id % 3 + 1)::INT) || ' ' || {_H1} AS line FROM pages"
+_DEDUPED = f"SELECT book, line_no, CASE WHEN row_number() OVER (PARTITION BY book, trim(title) ORDER BY line_no) > 1 THEN '' ELSE line END AS line FROM ({_HEADS})"
+_STATUS = "SELECT d.doc_id, CASE WHEN l.quality = 1 THEN 'ok' WHEN l.quality = 0 THEN 'fail' ELSE 'missing' END AS status FROM documents d LEFT JOIN (SELECT doc_id, max(quality) AS quality FROM labels GROUP BY doc_id) l ON d.doc_id = l.doc_id"
+_DONE = "SELECT CASE WHEN min(doc_id) = 0 THEN (SELECT min(a.doc_id) FROM labels a WHERE NOT EXISTS (SELECT 1 FROM labels b WHERE b.doc_id = a.doc_id + 1)) ELSE -1 END AS last FROM labels"
+
+ORACLE_SQL = {
+    "rough_merge": "SELECT conv_id AS book, string_agg(trim(text, ' ' || chr(10) || chr(9)), chr(10) || chr(10) ORDER BY turn) AS text FROM conversations WHERE trim(text) <> '' GROUP BY conv_id",
+    "rough_document": """WITH p AS (SELECT conv_id AS book, turn, '## ' || role || chr(10) || chr(10) || chr(10) || trim(text, ' ' || chr(10)) AS t FROM conversations),
+        l AS (SELECT book, turn, generate_subscripts(ls, 1) AS i, unnest(ls) AS line FROM (SELECT book, turn, string_split(t || chr(10), chr(10)) AS ls FROM p)),
+        h AS (SELECT *, CASE WHEN starts_with(line, '## ') THEN row_number() OVER (PARTITION BY book, line ORDER BY turn, i) ELSE 1 END AS rn FROM l),
+        b AS (SELECT book, turn, i, CASE WHEN rn > 1 OR trim(line) = '' THEN '' ELSE line END AS line FROM h),
+        k AS (SELECT *, coalesce(lag(line) OVER (PARTITION BY book ORDER BY turn, i), 'x') AS prev FROM b)
+        SELECT book, trim(string_agg(line, chr(10) ORDER BY turn, i), ' ' || chr(10)) || chr(10) AS text FROM k WHERE NOT (line = '' AND prev = '') GROUP BY book""",
+    "final_merge": "SELECT conv_id AS book, string_agg(trim(text, ' ' || chr(10) || chr(9)), chr(10) || chr(10) ORDER BY CASE WHEN role = 'system' THEN 999 ELSE turn END, CASE WHEN role = 'system' THEN 'x' || turn ELSE '' END) || chr(10) AS text FROM conversations GROUP BY conv_id",
+    "natural_sort_rank": """SELECT page_id, row_number() OVER (PARTITION BY regexp_extract(url, '^[a-z]+://([^/]*)', 1) ORDER BY k, url, page_id) AS rank
+        FROM (SELECT page_id, url, array_to_string(list_transform(regexp_extract_all(lower(url), '[0-9]+|[^0-9]+'), lambda x: CASE WHEN regexp_matches(x, '^[0-9]') THEN chr(1) || lpad(x, 40, '0') ELSE x END), '') AS k FROM pages)""",
+    "heading_dedupe": _DEDUPED,
+    "blank_collapse": f"SELECT book, line_no, line FROM (SELECT *, lag(line) OVER (PARTITION BY book ORDER BY line_no) AS prev FROM ({_DEDUPED})) WHERE NOT (line = '' AND coalesce(prev, 'x') = '')",
+    "h1_split": rf"""SELECT book, idx, trim(h) AS title, idx || '.' || regexp_replace(trim(h), '[\\/*?:"<>|]', '_', 'g') || '.md' AS file_name,
+        '# ' || trim(h) || chr(10) || url || CASE WHEN idx < n THEN chr(10) || chr(10) ELSE '' END AS text
+        FROM (SELECT page_id % 10 AS book, {_H1} AS h, url, row_number() OVER (PARTITION BY page_id % 10 ORDER BY page_id) AS idx, count(*) OVER (PARTITION BY page_id % 10) AS n FROM pages)""",
+    "safe_title": r"""SELECT page_id, regexp_replace(url, '[\\/*?:"<>|]', '_', 'g') AS safe_title FROM pages""",
+    "line_explode": _LINES,
+    "line_features": f"SELECT doc_id, line_no, is_heading, is_indented, is_figure, is_note, is_bracket, is_date, is_short FROM ({_FEATURES})",
+    "layout_blocks": f"SELECT doc_id, line_no, block_no::BIGINT AS block_no, starts, indents FROM ({_blocks_sql('false')})",
+    "layout_reflow": _reflow_sql("false"),
+    "layout_index_mode": _reflow_sql("doc_id % 10 = 0"),
+    "typeset_chapters": f"""SELECT doc_id, doc_id || CASE WHEN doc_id % 10 = 0 THEN '.目录.md' ELSE '.md' END AS file_name, string_agg(text, chr(10) || chr(10) ORDER BY block_no) || chr(10) AS text
+        FROM ({_reflow_sql('doc_id % 10 = 0')}) GROUP BY doc_id""",
+    "cjk_char_run": """SELECT doc_id, array_to_string(list_filter(a, lambda v, i: NOT (i > 2 AND a[i - 1] = v AND a[i - 2] = v)), '') AS text
+        FROM (SELECT doc_id, string_split(translate(regexp_replace(text, '[^a-j]', '', 'g'), 'abcdefghij', '甲乙甲乙甲乙甲乙甲乙'), '') AS a FROM documents)""",
+    "note_flatten": "SELECT doc_id, 'a' || chr(10) || '<sup>' || replace(text, chr(10), '') || '</sup>' || chr(10) || 'b' AS text FROM documents",
+    "contiguous_max": _DONE,
+    "resume_range": f"SELECT f AS first, CASE WHEN m >= f THEN m ELSE f + 49 END AS last FROM (SELECT (SELECT last FROM ({_DONE})) + 1 AS f, (SELECT max(doc_id) FROM documents) AS m)",
+    "pending_pages": "SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)",
+    "index_range": "SELECT doc_id, lang FROM documents WHERE doc_id BETWEEN 100 AND 499",
+    "page_status": _STATUS,
+    "status_counts": f"SELECT status, count(*) AS n FROM ({_STATUS}) GROUP BY status",
+    "fail_listing": "SELECT doc_id AS page_no, 'book/图片/' || doc_id || '.jpg' AS path FROM labels WHERE quality = 0",
+    "index_lookup": "SELECT n_nationkey::BIGINT AS idx, min(p_partkey % 50 || '.' || p_name || '.md') AS file_name FROM nation JOIN part ON p_partkey % 50 = n_nationkey GROUP BY n_nationkey",
+    "requested_files": "SELECT doc_id * 3 AS doc_id, doc_id * 3 IN (SELECT doc_id FROM documents) AS found FROM labels",
+    "mime_guess": "SELECT doc_id, CASE doc_id % 8 WHEN 2 THEN 'image/png' WHEN 3 THEN 'image/webp' WHEN 4 THEN 'image/bmp' WHEN 5 THEN 'image/tiff' WHEN 6 THEN 'image/tiff' ELSE 'image/jpeg' END AS mime FROM documents",
+    "response_text": """SELECT event_id, CASE WHEN event_id % 3 = 0 AND coalesce(props, '') <> '' THEN props ELSE 'a' || chr(10) || event_type || CASE WHEN event_id % 2 = 0 THEN chr(10) || ' b' ELSE '' END END AS text,
+        event_id % 5 = 0 AS refused FROM events""",
+    "retry_first_success": """WITH a AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n FROM events),
+        v AS (SELECT user_id, n, event_type, CASE WHEN event_id % 11 = 0 THEN 'fail' WHEN event_id % 4 = 0 THEN 'ok' END AS s FROM a WHERE n <= 5),
+        f AS (SELECT user_id, min(CASE WHEN s IS NOT NULL THEN n END) AS attempt FROM v GROUP BY user_id)
+        SELECT f.user_id, f.attempt, CASE WHEN v.s = 'ok' THEN v.event_type END AS text, coalesce(v.s, 'exhausted') AS status FROM f LEFT JOIN v ON f.user_id = v.user_id AND f.attempt = v.n""",
+    "batch_assign": "SELECT lang, doc_id, (row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1) // 3 AS batch FROM documents",
+    "progress": "SELECT source, count(l.doc_id) AS done, count(*) AS total, round(count(l.doc_id) * 100.0::DOUBLE / count(*), 2) AS percent FROM documents d LEFT JOIN (SELECT DISTINCT doc_id FROM labels) l ON d.doc_id = l.doc_id GROUP BY source",
+    "downscale_dims": """SELECT p_partkey, CASE WHEN s THEN w ELSE floor(w * f) END::BIGINT AS w, CASE WHEN s THEN h ELSE floor(h * f) END::BIGINT AS h, round(p_size * 6 / 72.0::DOUBLE, 6) AS scale
+        FROM (SELECT *, w <= 300 AND h <= 300 AS s, least(300.0::DOUBLE / w, 300.0::DOUBLE / h) AS f FROM (SELECT p_partkey, p_size, p_size * 37 AS w, p_partkey % 900 + 100 AS h FROM part))""",
+}
