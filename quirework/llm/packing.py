@@ -159,7 +159,8 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, end_id: int = END_ID, vocabu
     placed, _ = best_fit(histogram, capacity)
     table = spark.createDataFrame(placed or [(0, 0, 0, 1, 0, 0)], "l long, rank0 long, n long, per long, seq0 long, off0 long")
     ranked = p.withColumn("rn", F.row_number().over(Window.partitionBy("length", "bucket").orderBy("doc_id", "piece", "ids_crc32")) - 1)
-    ranked = ranked.join(counts.drop("n"), ["length", "bucket"]).withColumn("rank", F.col("rn") + F.col("before"))
+    # counts grow with the buckets, so they are never broadcast; ranked has its partitioning already
+    ranked = ranked.join(counts.drop("n").hint("merge"), ["length", "bucket"]).withColumn("rank", F.col("rn") + F.col("before"))
     step = F.col("rank") - F.col("rank0")
     hit = (F.col("length") == F.col("l")) & (step >= 0) & (step < F.col("n"))
     return ranked.join(F.broadcast(table), hit).select(
