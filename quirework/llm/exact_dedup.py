@@ -73,7 +73,8 @@ def verdicts(docs: DataFrame, pattern: str = CHUNK, hash_fn=F.xxhash64) -> DataF
     r = recipes(docs, pattern, hash_fn)
     best = F.max(F.struct("n_chars", F.bitwise_not("doc_id").alias("neg"))).alias("best")
     groups = r.groupBy("recipe").agg(F.count("*").alias("n"), best).where("n > 1").select("recipe", "n", F.bitwise_not("best.neg").alias("keep"))
-    out = r.join(groups, "recipe", "left")
+    # as a table of its own, so that a hot recipe's rows can be split in the join
+    out = r.join(materialise(groups, "groups"), "recipe", "left")
     keep = F.when(F.col("n").isNull(), F.col("doc_id")).otherwise(F.col("keep"))
     return out.select(
         "doc_id", keep.alias("keep_id"), F.coalesce("n", F.lit(1)).cast("long").alias("group_size"),
