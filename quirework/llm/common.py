@@ -35,6 +35,19 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: A table of at most so many narrow rows (ids, hashes, counts: under 100 bytes each) may be broadcast.
+BROADCAST_ROWS = 500_000
+
+
+def small_side(df: DataFrame, name: str, most: int = BROADCAST_ROWS) -> DataFrame:
+    """df written as a table, and marked for broadcast if it has at most ``most`` rows.
+
+    Beyond that it is returned unmarked, so the join is a shuffle join that AQE can split.
+    """
+    df = materialise(df, name)
+    return F.broadcast(df) if df.count() <= most else df
+
+
 def text_or_empty(c: str | Column) -> Column:
     return F.coalesce(F.col(c) if isinstance(c, str) else c, F.lit(""))
 

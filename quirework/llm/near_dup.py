@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import connected_components, materialise, text_or_empty
+from .common import connected_components, materialise, small_side, text_or_empty
 
 TREES, SHALLOW, DEEP, CROWD = 32, 6, 8, 64
 #: A block to verify has at most about so many members and shingles.
@@ -84,6 +84,8 @@ _SIGNED = pa.schema([("doc_id", pa.int64()), ("th", pa.int64()), ("node", pa.int
 
 
 def _sign(batches):
+    """Signatures once for each distinct set of a task; copies in other tasks give equal rows."""
+    seen: set[int] = set()
     for b in batches:
         ids, th = b.column(0), b.column(1)
         nodes, sizes, p6, p8 = [], [], [], []
@@ -93,7 +95,12 @@ def _sign(batches):
             if not len(s):
                 nodes.append(None), p6.append(None), p8.append(None)
                 continue
-            nodes.append(int.from_bytes(hashlib.blake2b(s.tobytes(), digest_size=8).digest(), "little", signed=True))
+            node = int.from_bytes(hashlib.blake2b(s.tobytes(), digest_size=8).digest(), "little", signed=True)
+            nodes.append(node)
+            if node in seen:
+                p6.append(None), p8.append(None)
+                continue
+            seen.add(node)
             a, c = _prefixes(signature(s))
             p6.append(a), p8.append(c)
         yield pa.RecordBatch.from_arrays([ids, th, pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()), pa.array(p6, pa.list_(pa.int64())), pa.array(p8, pa.list_(pa.int64()))], schema=_SIGNED)
@@ -166,16 +173,21 @@ def _verify(batches):
 def _links(docs: DataFrame, plan: DataFrame) -> DataFrame:
     """plan: doc_id, th, comp, gi, gj, node, sub, ask; a row for each block that a member is in."""
     d = docs.select("doc_id", F.xxhash64(text_or_empty("text")).alias("th"), text_or_empty("text").alias("text"))
-    rows = d.join(plan.withColumnRenamed("doc_id", "c_id").withColumnRenamed("th", "c_th"), (F.col("th") == F.col("c_th")) & F.col("doc_id").eqNullSafe(F.col("c_id")))
+    plan = small_side(plan.withColumnRenamed("doc_id", "c_id").withColumnRenamed("th", "c_th"), "plan")
+    rows = d.join(plan, (F.col("th") == F.col("c_th")) & F.col("doc_id").eqNullSafe(F.col("c_id")))
     n = max(8, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     rows = rows.select("comp", "gi", "gj", "node", "sub", "ask", "text").repartition(n, "comp", "gi", "gj").sortWithinPartitions("comp", "gi", "gj", "node")
     return rows.mapInArrow(_verify, "u long, v long")
 
 
-def candidate_edges(reps: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(u, v) edges to the smallest member of a region, and each node's weight in its regions."""
-    t = reps.select("node", F.explode(F.arrays_zip("p6", "p8")).alias("z")).select("node", F.col("z.p6").alias("p6"), F.col("z.p8").alias("p8"))
-    shared = t.groupBy("p6").agg(F.count("*").alias("n"), F.min("node").alias("m")).where("n > 1")
+def candidate_edges(signed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(u, v) edges to the smallest member of a region, and each node's weight in its regions.
+
+    A region counts if it holds two different sets; equal rows of one set only make it look fuller.
+    """
+    t = signed.where("p6 is not null").select("node", F.explode(F.arrays_zip("p6", "p8")).alias("z")).select("node", F.col("z.p6").alias("p6"), F.col("z.p8").alias("p8"))
+    shared = t.groupBy("p6").agg(F.count("*").alias("n"), F.min("node").alias("m"), F.max("node").alias("top")).where("m < top").drop("top")
+    shared = small_side(shared, "shared")
     t6 = materialise(t.join(shared, "p6").select("node", "p8", "n", "m"), "regions")
     crowd = t6.where(F.col("n") > CROWD)
     deep = crowd.groupBy("p8").agg(F.count("*").alias("n8"), F.min("node").alias("m8")).where("n8 > 1")
@@ -192,9 +204,7 @@ def components(docs: DataFrame, block_rows: int = BLOCK_ROWS, block_shingles: in
     narrow = signed.select("doc_id", "th", "node", "n_shingles")
     # one row of each distinct set stands for it; which one doesn't matter, min over (doc_id, th) makes it stable
     sets = materialise(narrow.where("node is not null").groupBy("node").agg(F.min(F.struct("doc_id", "th")).alias("r"), F.min("doc_id").alias("low"), F.min("n_shingles").alias("n_shingles"), F.count("*").alias("copies")), "sets")
-    one = sets.select(F.col("node").alias("s_node"), F.col("r.doc_id").alias("s_id"), F.col("r.th").alias("s_th"))
-    reps = signed.join(one, (F.col("node") == F.col("s_node")) & (F.col("th") == F.col("s_th")) & F.col("doc_id").eqNullSafe(F.col("s_id"))).select("node", "p6", "p8")
-    edges, weight = candidate_edges(reps)
+    edges, weight = candidate_edges(signed)
     cand = connected_components(edges, "candidates").withColumnRenamed("node", "c_node")
     cand = cand.join(sets, F.col("c_node") == F.col("node")).join(weight.withColumnRenamed("node", "w_node"), F.col("node") == F.col("w_node"))
     cand = materialise(cand.select("comp", "node", "weight", "n_shingles", F.col("r.doc_id").alias("doc_id"), F.col("r.th").alias("th")), "members")
