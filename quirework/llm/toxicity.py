@@ -37,6 +37,8 @@ DECAY, ORDER, LONGEST, SHARP = 0.7, 3, 24, 2
 RIDGE = 0.05
 #: A landmark is in at least so many toxic training texts, in this share of them, and so many times as often as in others.
 MIN_SUPPORT, MIN_SHARE, MIN_RATIO = 3, 0.015, 8.0
+#: A kernel value from which a word counts as a spelling of a landmark in training.
+NEAR = 0.4
 
 _LOOKS = str.maketrans({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "!": "i"})
 _LETTERS = frozenset("abcdefghijklmnopqrstuvwxyz" + "".join(map(chr, range(0xDF, 0x100))))
@@ -205,6 +207,19 @@ def find_landmarks(toxic: list[set[str]], other: list[set[str]]) -> list[str]:
     return found + neutral[:NEUTRAL]
 
 
+def telling(landmarks: list[str], toxic: list[set[str]], other: list[set[str]]) -> list[str]:
+    """The landmarks whose spellings, by the kernel itself, are MIN_RATIO times as frequent in toxic texts."""
+    if not landmarks:
+        return []
+    vocabulary = sorted(set().union(*toxic, *other))
+    rows, v = Kernel(landmarks).values(vocabulary)
+    near = {vocabulary[r]: set(np.flatnonzero(x >= NEAR).tolist()) for r, x in zip(rows, v)}
+    count = lambda sets: Counter(k for ws in sets for k in set().union(*(near[w] for w in ws & near.keys())))
+    inside, outside = count(toxic), count(other)
+    scale = len(other) / max(1, len(toxic))
+    return [x for k, x in enumerate(landmarks) if inside[k] * scale >= MIN_RATIO * (outside[k] + 0.5)]
+
+
 class Model:
     """Landmarks, their Nystroem map, the SVM's weights and the logistic curve."""
 
@@ -218,8 +233,11 @@ class Model:
             return self
         sets = [{f for w in words(t) if (f := fold(w))} for t in texts]
         clean = {ends(w) for s, t in zip(sets, y) if not t for w in s}
-        self.landmarks = find_landmarks([s for s, t in zip(sets, y) if t], [s for s, t in zip(sets, y) if not t])
-        self.neutral = sum(x in clean for x in self.landmarks)
+        toxic, other = [s for s, t in zip(sets, y) if t], [s for s, t in zip(sets, y) if not t]
+        found = find_landmarks(toxic, other)
+        neutral = [x for x in found if x in clean]
+        self.landmarks = telling([x for x in found if x not in clean], toxic, other) + neutral
+        self.neutral = len(neutral)
         if len(self.landmarks) == self.neutral:
             self.landmarks = []
             return self
@@ -228,12 +246,13 @@ class Model:
         own = normalised_kernel([x for x in self.landmarks for _ in range(n)], self.landmarks * n).reshape(n, n).astype(np.float64)
         vals, vecs = np.linalg.eigh(own + 1e-3 * np.eye(n))
         self.map = (vecs / np.sqrt(np.maximum(vals, 1e-3))) @ vecs.T
-        # sentences of other texts are all examples; of a toxic text, those that are near its nearest
+        # sentences of other texts are all examples; of a toxic text, those that are near its nearest,
+        # and none if nothing in it is near a landmark
         rows, s = [np.zeros(n)], [-1.0]
         for v, toxic in zip(self.sentences(texts), y):
             if toxic and len(v):
                 top = v[:, : n - self.neutral].max(1)
-                v = v[top >= 0.7 * top.max()]
+                v = v[top >= max(NEAR, 0.7 * top.max())]
             rows += list(v)
             s += [1.0 if toxic else -1.0] * len(v)
         # misspelt landmarks with one character put in are examples too
