@@ -93,6 +93,30 @@ class Scanner:
         self.mine = np.zeros(self.width * self.width, bool)
         self.mine[list(self.of)] = True
 
+    @staticmethod
+    def regions(at: list[int], grams: np.ndarray, size: int, least: float):
+        """(first, last) numbers of the hits of dense regions.
+
+        A hit counts 1, a repeated one or a bigram between hits -1/2; a region ends where the sum was highest before it
+        fell to 0 or by a quarter of the template, or where the template begins anew.  Linear, for a
+        sum that falls slowly still uses up what it had.
+        """
+        i = 0
+        while i < len(at):
+            score = best = 1.0
+            end, seen = i, {grams[at[i]]}
+            for j in range(i + 1, len(at)):
+                if grams[at[j]] == grams[at[i]] and j - i >= least:
+                    break
+                score += (-0.5 if grams[at[j]] in seen else 1) - 0.5 * (at[j] - at[j - 1] - 1)
+                seen.add(grams[at[j]])
+                if score <= 0 or best - score > size / 4:
+                    break
+                if score >= best:
+                    best, end = score, j
+            yield i, end
+            i = end + 1
+
     def matches(self, text: str | None) -> list[tuple[str, float, int, int]]:
         """(name, dice, first word, end word) of the best template of each region, in order."""
         words = normalise(text)
@@ -114,19 +138,13 @@ class Scanner:
             most = size * (2 - self.threshold) / self.threshold  # bigrams that a region may have
             if len(at) < least:
                 continue
-            gap = max(3, size // 4)
-            region = [at[0]]
-            for p in [*at[1:], None]:
-                # a region ends at a gap, or where the template begins anew
-                if p is None or p - region[-1] > gap or (grams[p] == grams[region[0]] and len(region) >= least):
-                    n = len({*grams[region[0] : region[-1] + 1].tolist()})
-                    if least <= n <= most:
-                        dice = 2 * len({int(grams[q]) for q in region}) / (n + size)
-                        if dice >= self.threshold:
-                            found.append((-round(dice, 6), -size, self.names[t], region[0], region[-1] + 2))
-                    region = []
-                if p is not None:
-                    region.append(p)
+            for a, b in self.regions(at, grams, size, least):
+                region = at[a : b + 1]
+                n = len({*grams[region[0] : region[-1] + 1].tolist()})
+                if least <= n <= most:
+                    dice = 2 * len({int(grams[q]) for q in region}) / (n + size)
+                    if dice >= self.threshold:
+                        found.append((-round(dice, 6), -size, self.names[t], region[0], region[-1] + 2))
         out: list[tuple[str, float, int, int]] = []
         # of overlapping regions the best stays
         for d, _, name, a, b in sorted(found):
