@@ -48,6 +48,14 @@ def small_side(df: DataFrame, name: str, most: int = BROADCAST_ROWS) -> DataFram
     return F.broadcast(df) if df.count() <= most else df
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name that df doesn't have, whatever extra columns it came with."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def text_or_empty(c: str | Column) -> Column:
     return F.coalesce(F.col(c) if isinstance(c, str) else c, F.lit(""))
 

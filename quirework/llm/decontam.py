@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import text_or_empty
+from .common import free_name, text_or_empty
 
 ERROR_SHARE, MIN_ITEM, BLOCK_CHARS = 20, 24, 4_000_000
 
@@ -120,19 +120,19 @@ def _blocks(benchmark: DataFrame) -> DataFrame:
     return b.withColumn("block", F.floor(F.coalesce(size, F.lit(0)) / BLOCK_CHARS))
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of docs with one more column, _items: the sorted ids of the items found."""
+def leaks(docs: DataFrame, benchmark: DataFrame, name: str = "_items") -> DataFrame:
+    """The rows of docs with one more column: the sorted ids of the items found."""
     total = benchmark.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
     parts = [benchmark.select(F.col("item_id").cast("long"), "text")] if total <= BLOCK_CHARS else None
     if parts is None:
         placed = _blocks(benchmark)
         n = placed.agg(F.max("block")).first()[0] + 1
         parts = [placed.where(F.col("block") == i).select("item_id", "text") for i in range(n)]
-    out = docs.withColumn("_items", F.array().cast("array<bigint>"))
+    out = docs.withColumn(name, F.array().cast("array<bigint>"))
     schema = out.schema
     for part in parts:
         items = [(r[0], normalise(r[1])) for r in part.collect()]  # one bounded block
-        out = out.mapInArrow(_finder(items, out.columns.index("text"), out.columns.index("_items")), schema)
+        out = out.mapInArrow(_finder(items, out.columns.index("text"), out.columns.index(name)), schema)
     return out
 
 
@@ -157,4 +157,5 @@ def scan(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of docs in which no item is found, in one pass."""
-    return leaks(docs, benchmark).where(F.size("_items") == 0).drop("_items")
+    name = free_name(docs, "_items")
+    return leaks(docs, benchmark, name).where(F.size(name) == 0).drop(name)

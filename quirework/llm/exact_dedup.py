@@ -85,5 +85,4 @@ def verdicts(docs: DataFrame, pattern: str = CHUNK, hash_fn=F.xxhash64) -> DataF
 def deduplicate(docs: DataFrame) -> DataFrame:
     """The rows of docs that stay.  Documents move once, keyed by doc_id and text hash."""
     drop = verdicts(docs).where(~F.col("kept")).select(F.col("doc_id").alias("_d"), F.col("text_sha256").alias("_s")).distinct()
-    marked = docs.withColumn("_h", F.sha2(normalised("text"), 256))
-    return marked.join(drop, marked["doc_id"].eqNullSafe(drop["_d"]) & (marked["_h"] == drop["_s"]), "left_anti").drop("_h")
+    return docs.join(drop, docs["doc_id"].eqNullSafe(drop["_d"]) & (F.sha2(normalised(docs["text"]), 256) == drop["_s"]), "left_anti")

@@ -246,5 +246,4 @@ def components(docs: DataFrame, block_rows: int = BLOCK_ROWS, block_shingles: in
 def deduplicate(docs: DataFrame) -> DataFrame:
     """The rows of docs that stay: the smallest doc_id of each component."""
     drop = components(docs).where(~F.col("kept")).select(F.col("doc_id").alias("_d"), F.col("th").alias("_t")).distinct()
-    marked = docs.withColumn("_h", F.xxhash64(text_or_empty("text")))
-    return marked.join(drop, marked["doc_id"].eqNullSafe(drop["_d"]) & (marked["_h"] == drop["_t"]), "left_anti").drop("_h")
+    return docs.join(drop, docs["doc_id"].eqNullSafe(drop["_d"]) & (F.xxhash64(text_or_empty(docs["text"])) == drop["_t"]), "left_anti")

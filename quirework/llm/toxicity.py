@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_or_empty
+from .common import free_name, text_or_empty
 
 SAMPLE, LANDMARKS, NEUTRAL = 1500, 48, 4
 DECAY, ORDER, LONGEST, SHARP = 0.7, 3, 24, 2
@@ -361,4 +361,5 @@ def score(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame
 
 def clean(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """The rows of docs that are not predicted toxic."""
-    return with_score(docs, train(docs, labels, sample)).where(F.col("_score") < 0.5).drop("_score")
+    name = free_name(docs, "_score")
+    return with_score(docs, train(docs, labels, sample), name).where(F.col(name) < 0.5).drop(name)
