@@ -94,28 +94,31 @@ class Scanner:
         self.mine[list(self.of)] = True
 
     @staticmethod
-    def regions(at: list[int], grams: np.ndarray, size: int, least: float):
-        """(first, last) numbers of the hits of dense regions.
+    def stretch(order: list[int], grams: np.ndarray, size: int) -> int:
+        """How many of the ordered hits, from the first on, make the densest stretch.
 
-        A hit counts 1, a repeated one or a bigram between hits -1/2; a region ends where the sum was highest before it
-        fell to 0 or by a quarter of the template, or where the template begins anew.  Linear, for a
-        sum that falls slowly still uses up what it had.
+        A new bigram counts 1, a repeated one or one between hits -1/2; the stretch ends where the sum
+        was highest before it fell to 0 or by a quarter of the template.
         """
+        score = best = 1.0
+        end, seen = 1, {grams[order[0]]}
+        for n, (p, q) in enumerate(zip(order, order[1:]), 2):
+            score += (-0.5 if grams[q] in seen else 1) - 0.5 * (abs(q - p) - 1)
+            seen.add(grams[q])
+            if score <= 0 or best - score > size / 4:
+                break
+            if score >= best:
+                best, end = score, n
+        return end
+
+    def regions(self, at: list[int], grams: np.ndarray, size: int):
+        """Hits of dense regions; linear, for a sum that falls slowly still uses up what it had."""
         i = 0
         while i < len(at):
-            score = best = 1.0
-            end, seen = i, {grams[at[i]]}
-            for j in range(i + 1, len(at)):
-                if grams[at[j]] == grams[at[i]] and j - i >= least:
-                    break
-                score += (-0.5 if grams[at[j]] in seen else 1) - 0.5 * (at[j] - at[j - 1] - 1)
-                seen.add(grams[at[j]])
-                if score <= 0 or best - score > size / 4:
-                    break
-                if score >= best:
-                    best, end = score, j
-            yield i, end
-            i = end + 1
+            part = at[i : i + 3 * size]  # a region that can match has at most size / 0.6 hits
+            end = i + self.stretch(part, grams, size)
+            yield at[end - self.stretch(at[i:end][::-1], grams, size) : end]
+            i = end
 
     def matches(self, text: str | None) -> list[tuple[str, float, int, int]]:
         """(name, dice, first word, end word) of the best template of each region, in order."""
@@ -138,8 +141,7 @@ class Scanner:
             most = size * (2 - self.threshold) / self.threshold  # bigrams that a region may have
             if len(at) < least:
                 continue
-            for a, b in self.regions(at, grams, size, least):
-                region = at[a : b + 1]
+            for region in self.regions(at, grams, size):
                 n = len({*grams[region[0] : region[-1] + 1].tolist()})
                 if least <= n <= most:
                     dice = 2 * len({int(grams[q]) for q in region}) / (n + size)
