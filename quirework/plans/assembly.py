@@ -105,7 +105,8 @@ def cjk_char_run(spark, sf_dir):
 
 
 def cjk_word_repeat(spark, sf_dir):
-    t = F.translate(F.regexp_replace("text", "[^a-j]", ""), _LATIN, _HAN[:3] * 3 + _HAN[3])
+    # words become runs of characters between blanks, as punctuation keeps them in real text
+    t = F.translate("text", "abcdefghijklmnopqrstuvwxyz", (_HAN * 3)[:26])
     return _t(spark, sf_dir, "documents").select("doc_id", cleanup.word_repeats(t).alias("text"))
 
 
