@@ -22,22 +22,29 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, text_or_empty
+from .common import free_name, materialise, small_side, text_or_empty
 
 MIN_WORDS = 8
 _LAST = "cast('99999999999999999999999999999' as decimal(38,0))"
 
 
 def words(line: Column) -> Column:
-    return F.filter(F.split(line, r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    return F.array_remove(F.split(F.translate(line, "\t\n\x0b\f\r", "     "), " "), "")
 
 
-def lines(docs: DataFrame) -> DataFrame:
-    """doc_id, line_no, w (words), h, h2, pos (order); blank lines left out."""
-    x = docs.select("doc_id", F.posexplode(F.split(text_or_empty("text"), "\n")).alias("line_no", "line"))
-    x = x.select("doc_id", "line_no", words(F.col("line")).alias("w")).where(F.size("w") > 0)
-    pos = F.coalesce(F.col("doc_id").cast("decimal(19,0)") * F.lit(2147483648).cast("decimal(10,0)") + F.col("line_no"), F.expr(_LAST)).cast("decimal(38,0)")
-    return x.select("doc_id", "line_no", "w", F.xxhash64("w").alias("h"), F.hash("w").alias("h2"), pos.alias("pos"))
+def position() -> Column:
+    return F.coalesce(F.col("doc_id").cast("decimal(19,0)") * F.lit(2147483648).cast("decimal(10,0)") + F.col("line_no"), F.expr(_LAST)).cast("decimal(38,0)")
+
+
+def raw_lines(docs: DataFrame) -> DataFrame:
+    return docs.select("doc_id", F.posexplode(F.split(text_or_empty("text"), "\n")).alias("line_no", "line"))
+
+
+def lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """doc_id, line_no, h, h2, k0..k3 (keys of halves, null for short lines); blank lines left out.  No text."""
+    x = raw_lines(docs).select("doc_id", "line_no", words(F.col("line")).alias("w")).where(F.size("w") > 0)
+    keys = F.when(F.size("w") >= min_words, _half_keys(F.col("w")))
+    return x.select("doc_id", "line_no", F.xxhash64("w").alias("h"), F.hash("w").alias("h2"), keys.alias("k")).select("doc_id", "line_no", "h", "h2", *(F.get("k", F.lit(i)).alias(f"k{i}") for i in range(4)))
 
 
 def _half_keys(w: Column) -> Column:
@@ -60,23 +67,18 @@ def within_one(a: Column, b: Column) -> Column:
 
 def decisions(docs: DataFrame, min_words: int = MIN_WORDS) -> tuple[DataFrame, DataFrame]:
     """Occurrences (doc_id, line_no, h, h2, pos), and distinct lines that have copies or go: h, h2, first, goes."""
-    occ = lines(docs)
-    fuzzy = F.size("w") >= min_words
-    keys = F.when(fuzzy, _half_keys(F.col("w")))
-    distinct = materialise(
-        occ.select("h", "h2", "pos", *(F.get(keys, F.lit(i)).alias(f"k{i}") for i in range(4)))
-        .groupBy("h", "h2").agg(F.min("pos").alias("first"), F.count("*").alias("n"), *(F.min(f"k{i}").alias(f"k{i}") for i in range(4))),
-        "lines",
-    )
+    occ = materialise(lines(docs, min_words), "occurrences").withColumn("pos", position())
+    distinct = materialise(occ.groupBy("h", "h2").agg(F.min("pos").alias("first"), F.count("*").alias("n"), *(F.min(f"k{i}").alias(f"k{i}") for i in range(4))), "lines")
     by_key = distinct.select("h", "h2", F.explode(F.array("k0", "k1", "k2", "k3")).alias("k")).where("k is not null")
     shared = by_key.groupBy("k").agg(F.count("*").alias("c")).where("c > 1").select("k")
-    alive = materialise(by_key.join(shared, "k").select("h", "h2").distinct().join(distinct.select("h", "h2", "first"), ["h", "h2"]), "alive")
-    # the words of one occurrence of each such line, found by its first position
-    told = materialise(
-        occ.where(fuzzy).select("h", "h2", "w", "pos").join(alive, ["h", "h2"]).where("pos = first").select("h", "h2", "w", "pos").dropDuplicates(["h", "h2"]), "told"
-    )
+    alive = by_key.join(shared, "k").select("h", "h2").distinct().join(distinct.select("h", "h2", "first"), ["h", "h2"])
+    alive = small_side(alive, "alive")
+    # the words of one occurrence of each such line, found by its first position; lines move as text
+    told = raw_lines(docs).select("line", position().alias("pos")).join(alive, F.col("pos") == F.col("first"))
+    told = told.select("h", "h2", "pos", words(F.col("line")).alias("w")).where((F.xxhash64("w") == F.col("h")) & (F.hash("w") == F.col("h2")))
+    told = materialise(told.dropDuplicates(["h", "h2"]), "told")
     each = F.sequence(F.lit(0), F.size("w"))
-    variants = told.select(
+    variants = told.select("h", "h2", "pos", F.transform("w", lambda x: F.xxhash64(x)).alias("w")).select(
         "h", "h2", "pos",
         F.explode(F.transform(each, lambda i: F.struct(i.alias("i"), F.when(i == 0, F.xxhash64("w")).otherwise(F.xxhash64(F.concat(F.slice("w", F.lit(1), F.greatest(i - 1, F.lit(0))), F.slice("w", i + 1, F.size("w"))))).alias("v")))).alias("x"),
     ).select("h", "h2", "pos", F.col("x.i").alias("i"), F.col("x.v").alias("v"))
@@ -111,7 +113,8 @@ def verdicts(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
 def apply(docs: DataFrame, dropped: DataFrame) -> DataFrame:
     """docs with the dropped lines taken out of text; dropped as from verdicts()."""
-    d = dropped.where("n_dropped > 0").select(F.col("doc_id").alias("_d"), F.col("dropped").alias("_x")).dropDuplicates(["_d"])
-    kept = F.array_join(F.filter(F.split("text", "\n"), lambda line, i: ~F.array_contains("_x", i)), "\n")
-    out = docs.join(d, docs["doc_id"].eqNullSafe(d["_d"]), "left").withColumn("text", F.when(F.col("_x").isNull(), F.col("text")).otherwise(kept))
+    at, gone = free_name(docs, "_d"), free_name(docs, "_x")
+    d = dropped.where("n_dropped > 0").select(F.col("doc_id").alias(at), F.col("dropped").alias(gone)).dropDuplicates([at])
+    kept = F.array_join(F.filter(F.split("text", "\n"), lambda line, i: ~F.array_contains(gone, i)), "\n")
+    out = docs.join(d, docs["doc_id"].eqNullSafe(d[at]), "left").withColumn("text", F.when(F.col(gone).isNull(), F.col("text")).otherwise(kept))
     return out.select(*docs.columns)
