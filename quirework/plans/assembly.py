@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from ..operators import cleanup, layout, merge, order, split, status
 
-H1 = F.regexp_extract("html", "(?s)<h1[^>]*>(.*?)</h1>", 1)
+
+def _h1():
+    return F.regexp_extract("html", "(?s)<h1[^>]*>(.*?)</h1>", 1)
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,7 +41,7 @@ def natural_sort_rank(spark, sf_dir):
 
 
 def _headings(spark, sf_dir):
-    return _t(spark, sf_dir, "pages").select((F.col("page_id") % 10).alias("book"), F.col("page_id").alias("line_no"), F.concat(F.repeat(F.lit("#"), (F.col("page_id") % 3 + 1).cast("int")), F.lit(" "), H1).alias("line"))
+    return _t(spark, sf_dir, "pages").select((F.col("page_id") % 10).alias("book"), F.col("page_id").alias("line_no"), F.concat(F.repeat(F.lit("#"), (F.col("page_id") % 3 + 1).cast("int")), F.lit(" "), _h1()).alias("line"))
 
 
 def heading_dedupe(spark, sf_dir):
@@ -51,7 +53,7 @@ def blank_collapse(spark, sf_dir):
 
 
 def h1_split(spark, sf_dir):
-    p = _t(spark, sf_dir, "pages").select((F.col("page_id") % 10).alias("book"), "page_id", F.concat(F.lit("# "), H1, F.lit("\n"), "url").alias("text"))
+    p = _t(spark, sf_dir, "pages").select((F.col("page_id") % 10).alias("book"), "page_id", F.concat(F.lit("# "), _h1(), F.lit("\n"), "url").alias("text"))
     docs = merge.join_pages(p, "book", ["page_id"]).withColumn("text", F.concat(F.lit("preamble\n"), "text"))
     return split.split_chapters(docs, ["book"]).select("book", F.col("idx").cast("bigint").alias("idx"), "title", "file_name", "text")
 
