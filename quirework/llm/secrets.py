@@ -27,7 +27,6 @@ KINDS = ("assign", "access", "hex", "lexed")
 _ASSIGN = re.compile(r"""(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 _HEX = re.compile(r"[0-9a-f]{24,}")
-_HINT = re.compile(r"pass|pwd|secret|token|key|cred|auth|salt|private", re.I | re.A)
 
 _STRING = r"""(?:"(?:[^"\\\n]|\\.){0,4096}"|'(?:[^'\\\n]|\\.){0,4096}')"""
 _PAIR = re.compile(
@@ -39,6 +38,8 @@ _SPLIT = re.compile(r"[^A-Za-z0-9]+|(?<=[a-z0-9])(?=[A-Z])")
 #: Weight of a word in a target name.
 WEIGHTS = {"password": 1.0, "passwd": 1.0, "pwd": 1.0, "passphrase": 1.0, "secret": 1.0, "token": 0.9, "apikey": 1.0, "credential": 0.8, "credentials": 0.8, "private": 0.5, "key": 0.5, "auth": 0.6, "bearer": 0.7, "salt": 0.5, "access": 0.3, "api": 0.4, "session": 0.3, "signing": 0.5, "pass": 0.8}
 THRESHOLD, MIN_LITERAL = 1.2, 6
+#: A name with any weight holds one of these words, so texts without them have no lexed span.
+_HINT = re.compile("|".join(w for w in WEIGHTS if not any(v != w and v in w for v in WEIGHTS)), re.I | re.A)
 _PLACEHOLDERS = {"changeme", "password", "example", "undefined", "placeholder", "required", "optional", "string", "default"}
 
 

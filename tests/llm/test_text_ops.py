@@ -49,6 +49,15 @@ def test_lexer_joins_literals_and_follows_names():
     assert "blue123" not in found
 
 
+@pytest.mark.parametrize("word", sorted(secrets.WEIGHTS))
+def test_lexer_needs_no_other_word_of_the_text(word):
+    """A pair is reported whether or not the rest of the text has a word that sounds of secrets."""
+    line = f'{word}{"_signing" if secrets.WEIGHTS[word] < 0.5 else ""} = "a8F3k29dQ+x7Lm0ZpQ4rT6vW"'
+    found = secrets.lexed_spans(line)
+    assert [line[a:b] for a, b in found] == ["a8F3k29dQ+x7Lm0ZpQ4rT6vW"]
+    assert secrets.lexed_spans(line + "\npassive monkeys") == found
+
+
 @pytest.fixture(scope="module")
 def encode():
     import public_tokenizers
