@@ -6,6 +6,8 @@ literal earlier in the text (constant propagation), and scores every literal by
 target names are and how random it looks.  Pairs that reach the threshold become spans of kind
 ``lexed``; base spans always stay.
 
+Names, values and the number of joined literals have no upper bound.
+
 Defined cases: null text counts as empty; a text without matches has counts 0, the digest of the
 empty string and spans ''; repeated rows give repeated results; extra columns are ignored.
 Positions are code points, ends are exclusive.
@@ -28,9 +30,12 @@ _ASSIGN = re.compile(r"""(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 _HEX = re.compile(r"[0-9a-f]{24,}")
 
-_STRING = r"""(?:"(?:[^"\\\n]|\\.){0,4096}"|'(?:[^'\\\n]|\\.){0,4096}')"""
+# possessive throughout: no length or count is bounded, and time stays linear
+_STRING = r"""(?:"[^"\\\n]*+(?:\\.[^"\\\n]*+)*+"|'[^'\\\n]*+(?:\\.[^'\\\n]*+)*+')"""
+# a type of over 41 characters is one only before a spaced =, for a bare value can end in one
+_TYPE = r"""[A-Za-z_](?:[A-Za-z0-9_\[\]]{0,40}|[A-Za-z0-9_\[\]]*+(?=[ \t]++=(?!=)))"""
 _PAIR = re.compile(
-    rf"""(?P<q>["']?)(?<![A-Za-z0-9_.$-])(?P<name>[A-Za-z_$][A-Za-z0-9_.$-]{{0,127}})(?P=q)(?:[ \t]*:[ \t]*[A-Za-z_][A-Za-z0-9_\[\]]{{0,40}})?[ \t]*(?::=|=>|=(?!=)|:(?!:|//))[ \t]*(?P<value>{_STRING}(?:[ \t]*\+?[ \t]*{_STRING}){{0,32}}|[A-Za-z0-9+/_.=$-]{{1,4096}})""",
+    rf"""(?P<q>["']?)(?<![A-Za-z0-9_.$-])(?P<name>[A-Za-z_$][A-Za-z0-9_.$-]*+)(?P=q)(?:[ \t]*+:[ \t]*+{_TYPE})?[ \t]*+(?::=|=>|=(?!=)|:(?!:|//))[ \t]*+(?P<value>{_STRING}(?:[ \t]*+(?:\+[ \t]*+)?+{_STRING})*+|[A-Za-z0-9+/_.=$-]++)""",
     re.A,
 )
 _LITERAL = re.compile(_STRING)

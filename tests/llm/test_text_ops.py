@@ -1,6 +1,7 @@
 import hashlib
 import json
 import re
+import time
 import zlib
 
 import pytest
@@ -58,6 +59,25 @@ def test_lexer_needs_no_other_word_of_the_text(word):
     assert secrets.lexed_spans(line + "\npassive monkeys") == found
 
 
+def test_lexer_has_no_bounds():
+    blob = "a8F3k29dQ+x7Lm0ZpQ4r" * 500
+    parts = [f"a{k}F3k29dQx" for k in range(40)]
+    long_name = "my_" * 60 + "secret"
+    joined = " + ".join(f'"{x}"' for x in parts)
+    for text, want in [
+        (f'secret = "{blob}"', blob), (f"SECRET={blob}\n", blob), (f"k = '{blob}'\ntoken = k", blob), (f"{long_name}: '{blob[:20]}'", blob[:20]),
+        (f"token = {joined}", joined[1:-1]), (f'secret: {"T" * 60}[str] = "{blob[:20]}"', blob[:20]),
+    ]:
+        assert [text[a:b] for a, b in secrets.lexed_spans(text)] == [want]
+
+
+@pytest.mark.parametrize("text", ['secret = "' + "a " * 200_000, "secret" + " " * 200_000 + "x", "secret = 'a'" + " " * 200_000 + "+", 'secret="\\\\' * 50_000, "secret: " * 50_000, "secret:" + "a" * 400_000])
+def test_lexer_stays_linear(text):
+    began = time.process_time()
+    secrets.lexed_spans(text)
+    assert time.process_time() - began < 5
+
+
 @pytest.fixture(scope="module")
 def encode():
     import public_tokenizers
