@@ -1,6 +1,6 @@
 """MinHash near-dedup with an LSH forest.
 
-Each distinct shingle set gets TREES x DEEP minimum hashes.  A tree is one sorted order of the
+Each distinct shingle set gets DEEP minimum hashes a tree.  A tree is one sorted order of the
 signatures; neighbours in it share a longest common prefix.  The depth at which a common prefix
 makes candidates adapts to the region: SHALLOW values where few sets share them, DEEP values
 where more than CROWD do.  Rows of one region are joined to its smallest member, never in pairs,
@@ -9,8 +9,9 @@ whole on full shingle sets: small ones in one go, large ones in blocks around a
 the pivot leaves apart is compared in blocks with all members.  No partner, candidate or bucket
 is capped.
 
-At a similarity of 0.85 one pair shares no prefix of 6 in 32 trees with probability 3e-7, and no
-prefix of 8 with 4e-5; at 0.9 it is 4e-13 and 2e-8.
+The similarity that links is a parameter in percent, and the number of trees follows from it: a pair
+just at it shares no prefix of 6 with probability 1e-6 at most, and no prefix of 8 with 4e-5 (32
+trees for 0.85, 56 for 0.8).  At 0.9 in 32 trees it is 4e-13 and 2e-8.
 
 Defined cases: null text counts as empty; a text without words has an empty set, is linked with
 nothing and is its own component; fewer than five words make one shingle of the whole sequence;
@@ -22,6 +23,8 @@ Sets are identified by a 64-bit digest of all their shingles.
 from __future__ import annotations
 
 import hashlib
+import math
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +37,8 @@ from .common import connected_components, materialise, small_side, text_or_empty
 TREES, SHALLOW, DEEP, CROWD = 32, 6, 8, 64
 #: A block to verify has at most about so many members and shingles.
 BLOCK_ROWS, BLOCK_SHINGLES = 512, 1_000_000
-WIDTH, SIM_NUM, SIM_DEN = 5, 85, 100
+#: op9 links from this similarity on, in percent.
+WIDTH, PERCENT = 5, 85
 
 _RNG = np.random.default_rng(20240607)
 _ODD = _RNG.integers(0, 2**63, TREES * DEEP + 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -66,24 +70,42 @@ def shingles(text: str | None) -> np.ndarray:
     return np.unique(_mix(s))
 
 
-def signature(s: np.ndarray) -> np.ndarray:
-    low = np.full(TREES * DEEP, np.iinfo(np.uint64).max, np.uint64)
+def tree_count(percent: int) -> int:
+    """Trees in which a pair at this similarity is missed with the probabilities above."""
+    p = percent / 100
+    if p == 1:
+        return TREES
+    return max(TREES, *(math.ceil(math.log(miss) / math.log(1 - p**depth)) for depth, miss in ((SHALLOW, 1e-6), (DEEP, 4e-5))))
+
+
+@lru_cache
+def _forest(trees: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Factors and summands of the hashes, and a salt for each tree; the first TREES are fixed."""
+    more = np.random.default_rng(20240608).integers(0, 2**63, (max(0, trees - TREES), 2 * DEEP + 1), dtype=np.uint64) * np.uint64(2)
+    odd = more[:, DEEP:] + np.uint64(1)
+    return np.concatenate((_A, odd[:, :DEEP].ravel())), np.concatenate((_B, more[:, :DEEP].ravel())), np.concatenate((_TREE, odd[:, DEEP]))
+
+
+def signature(s: np.ndarray, trees: int = TREES) -> np.ndarray:
+    a, b, _ = _forest(trees)
+    low = np.full(trees * DEEP, np.iinfo(np.uint64).max, np.uint64)
     for i in range(0, len(s), 128):
-        x = s[i : i + 128, None] * _A
-        x += _B
+        x = s[i : i + 128, None] * a
+        x += b
         np.minimum(low, x.min(0), out=low)
     return low
 
 
 def _prefixes(low: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    x = _mix(low.reshape(TREES, DEEP)) * _W
-    return _mix(x[:, :SHALLOW].sum(1) + _TREE).view(np.int64), _mix(x.sum(1) ^ _TREE).view(np.int64)
+    x = _mix(low.reshape(-1, DEEP)) * _W
+    salt = _forest(len(x))[2]
+    return _mix(x[:, :SHALLOW].sum(1) + salt).view(np.int64), _mix(x.sum(1) ^ salt).view(np.int64)
 
 
 _SIGNED = pa.schema([("doc_id", pa.int64()), ("th", pa.int64()), ("node", pa.int64()), ("n_shingles", pa.int64()), ("p6", pa.list_(pa.int64())), ("p8", pa.list_(pa.int64()))])
 
 
-def _sign(batches):
+def _sign(batches, trees: int):
     """Signatures once for each distinct set of a task; copies in other tasks give equal rows."""
     seen: set[int] = set()
     for b in batches:
@@ -101,17 +123,17 @@ def _sign(batches):
                 p6.append(None), p8.append(None)
                 continue
             seen.add(node)
-            a, c = _prefixes(signature(s))
+            a, c = _prefixes(signature(s, trees))
             p6.append(a), p8.append(c)
         yield pa.RecordBatch.from_arrays([ids, th, pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()), pa.array(p6, pa.list_(pa.int64())), pa.array(p8, pa.list_(pa.int64()))], schema=_SIGNED)
 
 
-def similar(c, a, b):
+def similar(c, a, b, percent: int = PERCENT):
     """Whether sets of sizes a and b with c common members are linked."""
-    return SIM_DEN * c >= SIM_NUM * (a + b - c)
+    return 100 * c >= percent * (a + b - c)
 
 
-def spanning(nodes: list[int], sets: list[np.ndarray], subs: list[int], ask: list[bool]) -> list[tuple[int, int]]:
+def spanning(nodes: list[int], sets: list[np.ndarray], subs: list[int], ask: list[bool], percent: int = PERCENT) -> list[tuple[int, int]]:
     """Edges that link, over all similar pairs with an asking member, groups that subs holds apart."""
     n = len(nodes)
     if n < 2:
@@ -123,7 +145,7 @@ def spanning(nodes: list[int], sets: list[np.ndarray], subs: list[int], ask: lis
     group = np.unique(np.array(subs), return_inverse=True)[1]
     out = []
     for i in np.flatnonzero(ask):
-        live = (group != group[i]) & (SIM_DEN * np.minimum(size, size[i]) >= SIM_NUM * np.maximum(size, size[i]))
+        live = (group != group[i]) & (100 * np.minimum(size, size[i]) >= percent * np.maximum(size, size[i]))
         js = np.flatnonzero(live)
         if not len(js):
             continue
@@ -134,7 +156,7 @@ def spanning(nodes: list[int], sets: list[np.ndarray], subs: list[int], ask: lis
         else:
             c = np.array([mark[codes[starts[j] : starts[j] + size[j]]].sum() for j in js])
         mark[own] = 0
-        for j in js[similar(c.astype(np.int64), size[i], size[js])]:
+        for j in js[similar(c.astype(np.int64), size[i], size[js], percent)]:
             if group[j] != group[i]:
                 out.append((nodes[i], nodes[j]))
                 group[group == group[j]] = group[i]
@@ -144,7 +166,7 @@ def spanning(nodes: list[int], sets: list[np.ndarray], subs: list[int], ask: lis
 _EDGES = pa.schema([("u", pa.int64()), ("v", pa.int64())])
 
 
-def _verify(batches):
+def _verify(batches, percent: int):
     """Rows sorted by group key (comp, gi, gj), then node; a group's shingles are held, its texts are not."""
     key, nodes, sets, subs, ask = None, [], [], [], []
     out: list[tuple[int, int]] = []
@@ -157,7 +179,7 @@ def _verify(batches):
         cols = [b.column(i).to_pylist() for i in range(6)]
         for *k, node, sub, asks, t in zip(*cols[:3], *cols[3:6], b.column(6).to_pylist()):
             if k != key:
-                out += spanning(nodes, sets, subs, ask)
+                out += spanning(nodes, sets, subs, ask, percent)
                 key, nodes, sets, subs, ask = k, [], [], [], []
             if nodes and nodes[-1] == node:
                 ask[-1] |= asks
@@ -166,18 +188,18 @@ def _verify(batches):
         if len(out) > 50_000:
             yield batch()
             out.clear()
-    out += spanning(nodes, sets, subs, ask)
+    out += spanning(nodes, sets, subs, ask, percent)
     yield batch()
 
 
-def _links(docs: DataFrame, plan: DataFrame) -> DataFrame:
+def _links(docs: DataFrame, plan: DataFrame, percent: int) -> DataFrame:
     """plan: doc_id, th, comp, gi, gj, node, sub, ask; a row for each block that a member is in."""
     d = docs.select("doc_id", F.xxhash64(text_or_empty("text")).alias("th"), text_or_empty("text").alias("text"))
     plan = small_side(plan.withColumnRenamed("doc_id", "c_id").withColumnRenamed("th", "c_th"), "plan")
     rows = d.join(plan, (F.col("th") == F.col("c_th")) & F.col("doc_id").eqNullSafe(F.col("c_id")))
     n = max(8, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     rows = rows.select("comp", "gi", "gj", "node", "sub", "ask", "text").repartition(n, "comp", "gi", "gj").sortWithinPartitions("comp", "gi", "gj", "node")
-    return rows.mapInArrow(_verify, "u long, v long")
+    return rows.mapInArrow(lambda batches: _verify(batches, percent), "u long, v long")
 
 
 def candidate_edges(signed: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -195,10 +217,11 @@ def candidate_edges(signed: DataFrame) -> tuple[DataFrame, DataFrame]:
     return edges.where("u <> v").distinct(), t6.groupBy("node").agg(F.sum("n").alias("weight"))
 
 
-def components(docs: DataFrame, block_rows: int = BLOCK_ROWS, block_shingles: int = BLOCK_SHINGLES) -> DataFrame:
+def components(docs: DataFrame, block_rows: int = BLOCK_ROWS, block_shingles: int = BLOCK_SHINGLES, percent: int = PERCENT) -> DataFrame:
     """One row per document: doc_id, th (hash of its text), n_shingles, component_id, kept."""
+    trees = tree_count(percent)
     signed = docs.select("doc_id", F.xxhash64(text_or_empty("text")).alias("th"), text_or_empty("text").alias("text")).mapInArrow(
-        _sign, "doc_id long, th long, node long, n_shingles long, p6 array<long>, p8 array<long>"
+        lambda batches: _sign(batches, trees), "doc_id long, th long, node long, n_shingles long, p6 array<long>, p8 array<long>"
     )
     signed = materialise(signed, "signed")
     narrow = signed.select("doc_id", "th", "node", "n_shingles")
@@ -214,7 +237,7 @@ def components(docs: DataFrame, block_rows: int = BLOCK_ROWS, block_shingles: in
     own = F.pmod(F.xxhash64("node"), F.col("nb")).cast("int")
     placed = cand.join(comps, "comp").withColumn("gi", F.explode(F.when(F.col("node") == F.col("pivot"), F.sequence(F.lit(0), F.col("nb") - 1)).otherwise(F.array(own))))
     placed = placed.select("doc_id", "th", "comp", "gi", F.lit(0).alias("gj"), "node", F.col("node").alias("sub"), F.lit(True).alias("ask"))
-    first = materialise(_links(docs, placed), "links")
+    first = materialise(_links(docs, placed, percent), "links")
 
     # what large candidate components still hold apart, in blocks against all members
     large = materialise(comps.where("nb > 1"), "large")
@@ -231,7 +254,7 @@ def components(docs: DataFrame, block_rows: int = BLOCK_ROWS, block_shingles: in
         cols = ["doc_id", "th", "comp", "gi", "gj", "node", "sub", "ask"]
         every = rest.withColumn("ask", F.lit(False)).withColumn("gi", F.explode(F.sequence(F.lit(0), F.col("na") - 1))).withColumn("gj", own).select(cols)
         asked = rest.where("ask").withColumn("gi", mine).withColumn("gj", F.explode(F.sequence(F.lit(0), F.col("nb") - 1))).select(cols)
-        links = first.union(_links(docs, every.union(asked)))
+        links = first.union(_links(docs, every.union(asked), percent))
 
     label = connected_components(links, "links")
     named = sets.join(label.withColumnRenamed("node", "l_node"), F.col("node") == F.col("l_node"), "left").select("node", "low", "copies", "comp")
@@ -243,7 +266,7 @@ def components(docs: DataFrame, block_rows: int = BLOCK_ROWS, block_shingles: in
     return out.select("doc_id", "th", "n_shingles", comp.alias("component_id"), F.col("doc_id").eqNullSafe(comp).alias("kept"))
 
 
-def deduplicate(docs: DataFrame) -> DataFrame:
+def deduplicate(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The rows of docs that stay: the smallest doc_id of each component."""
-    drop = components(docs).where(~F.col("kept")).select(F.col("doc_id").alias("_d"), F.col("th").alias("_t")).distinct()
+    drop = components(docs, percent=percent).where(~F.col("kept")).select(F.col("doc_id").alias("_d"), F.col("th").alias("_t")).distinct()
     return docs.join(drop, docs["doc_id"].eqNullSafe(drop["_d"]) & (F.xxhash64(text_or_empty(docs["text"])) == drop["_t"]), "left_anti")

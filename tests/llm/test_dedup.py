@@ -123,6 +123,22 @@ def test_near_deduplicate_and_empty(spark):
     assert near_dup.components(frame(spark, [(None, "a b c d e f"), (None, "a b c d e f")])).count() == 2
 
 
+def test_near_at_another_similarity(spark):
+    """Pairs in 0.80 to 0.85 are linked at 80 percent, and not at 85."""
+    rows, d = [], 0
+    for g in range(40):
+        base = words(150, 900 + g)
+        other = base[:60] + [f"new{g}{i}" for i in range(9 + g % 3)] + base[60 + 9 + g % 3 :]
+        rows += [(d, " ".join(base)), (d + 1, " ".join(other))]
+        d += 2
+    sims = [len(a & b) / len(a | b) for a, b in ((shingle_set(rows[i][1]), shingle_set(rows[i + 1][1])) for i in range(0, len(rows), 2))]
+    assert all(0.8 <= x < 0.85 for x in sims)
+    docs = frame(spark, rows)
+    assert sorted(r.doc_id for r in near_dup.deduplicate(docs, percent=80).collect()) == list(range(0, d, 2))
+    assert near_dup.deduplicate(docs).count() == len(rows)
+    assert near_dup.tree_count(85) == near_dup.TREES and (1 - 0.8**near_dup.DEEP) ** near_dup.tree_count(80) <= 4e-5
+
+
 def brute_lines(rows):
     """Earlier lines first; a line goes if it equals an earlier one or is one word edit from one."""
     lines = sorted(((d, n, [w for w in re.split(r"[\x20\x09-\x0D]+", line) if w]) for d, t in rows for n, line in enumerate((t or "").split("\n"))), key=lambda x: x[:2])
