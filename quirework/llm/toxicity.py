@@ -43,6 +43,7 @@ NEAR = 0.4
 _LOOKS = str.maketrans({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "!": "i"})
 _LETTERS = frozenset("abcdefghijklmnopqrstuvwxyz" + "".join(map(chr, range(0xDF, 0x100))))
 _SENTENCE = re.compile(r"[.!?]+\s+|\n")
+_INNER = re.compile(r"[^\w@$]+|_+")
 _SINGLES = re.compile(r"(?<!\S)\S(?:[ \t]+\S){2,}(?!\S)")
 
 
@@ -53,7 +54,7 @@ def fold(word: str) -> str:
         w = w.translate(_LOOKS)
         if not all(c in _LETTERS for c in w):
             w = "".join(x for c in w for x in (c if c in _LETTERS else unicodedata.normalize("NFKD", c)) if x in _LETTERS)
-    return w[: 4 * LONGEST]
+    return w
 
 
 def ends(word: str) -> str:
@@ -69,6 +70,11 @@ def words(text: str) -> set[str]:
     return out
 
 
+def parts(ws: set[str]) -> set[str]:
+    """The words, and what stands between marks inside of them, as words of their own."""
+    return ws.union(*(_INNER.split(w) for w in ws if not w.isalnum())) - {""}
+
+
 def _table(items: list[str], width: int) -> np.ndarray:
     """Latin-1 codes, 0 beyond the end; { and | are word ends."""
     raw = np.zeros((len(items), width), np.uint8)
@@ -114,15 +120,29 @@ class Kernel:
 
     The value counts where a landmark's characters, or all but one after the first letter, come in
     order in a window of the word, with at most two others between neighbours; elsewhere it is 0.
+    A window may start at any place of a word; only one at the word's start has the mark of a start.
+    In harmless words, those of training texts that are not toxic, the others don't count.
     """
 
-    def __init__(self, landmarks: list[str]):
-        self.landmarks = landmarks
+    def __init__(self, landmarks: list[str], harmless: set[str] = frozenset()):
+        self.landmarks, self.harmless = landmarks, harmless
         gap = r"[^\n]{0,2}?"
-        self.windows = [re.compile("|".join(gap.join(map(re.escape, x)) for x in [lm, *dict.fromkeys(lm[:i] + lm[i + 1 :] for i in range(2, len(lm)))])) for lm in landmarks]
+        spaced = lambda x: gap.join(map(re.escape, x))
+        less = lambda x, first: [x, *dict.fromkeys(x[:i] + x[i + 1 :] for i in range(first, len(x)))]
+        self.windows = []
+        for lm in landmarks:
+            core = lm.strip("{|")
+            inner = "|".join(map(spaced, less(core, 1)))
+            # a lookahead, so that no window hides a better one that starts inside it
+            self.windows.append(re.compile(rf"(?=[{{{re.escape(core[:1])}])(?=({'|'.join(map(spaced, less(lm, 2)))}|(?:{inner})(?:{gap}\|)?))"))
         self.letters = [np.uint32(sum({1 << (ord(c) & 31) for c in {*lm} - {*"{|"}})) for lm in landmarks]
         self.known: list[dict[str, float]] = [{} for _ in landmarks]
 
+    def inside(self, items: set[str]) -> set[str]:
+        """The folded words in which a landmark may stand beyond the start."""
+        letters = [{*x.strip("{|")} for x in self.landmarks]
+        return {w for w in items if any(len(x - {*w}) < 2 for x in letters) and any(m.start() for rx in self.windows for m in rx.finditer(ends(w)))}
+
     def values(self, items: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(row numbers, values) of the folded words that have any value."""
         if not items:
@@ -136,14 +156,17 @@ class Kernel:
             lack = self.letters[x] & ~letters
             near = np.flatnonzero((lack & (lack - (lack > 0))) == 0)
             starts = np.cumsum(lengths[near] + 2) - (lengths[near] + 2)
-            found = [(m.start(), m[0]) for m in rx.finditer("\n".join([ends(items[i]) for i in near]))]
+            found = [(m.start(), m[1]) for m in rx.finditer("\n".join([ends(items[i]) for i in near]))]
             if not found:
                 continue
+            rows = near[np.searchsorted(starts, [a for a, _ in found], "right") - 1]
+            if self.harmless:
+                counts = [w[0] == "{" or items[i] not in self.harmless for i, (_, w) in zip(rows, found)]
+                rows, found = rows[counts], [f for f, c in zip(found, counts) if c]
             new = list({w for _, w in found if w not in known})
             for at in range(0, len(new), 2048):
                 part = new[at : at + 2048]
                 known.update(zip(part, normalised_kernel(part, [self.landmarks[x]] * len(part)).tolist()))
-            rows = near[np.searchsorted(starts, [a for a, _ in found], "right") - 1]
             hits.append((x, rows, np.array([known[w] for _, w in found], np.float32)))
         rows = np.unique(np.concatenate([r for _, r, _ in hits])) if hits else np.zeros(0, np.int64)
         out = np.zeros((len(rows), len(self.landmarks)), np.float32)
@@ -212,7 +235,7 @@ def telling(landmarks: list[str], toxic: list[set[str]], other: list[set[str]])
     if not landmarks:
         return []
     vocabulary = sorted(set().union(*toxic, *other))
-    rows, v = Kernel(landmarks).values(vocabulary)
+    rows, v = Kernel(landmarks, set().union(*other)).values(vocabulary)
     near = {vocabulary[r]: set(np.flatnonzero(x >= NEAR).tolist()) for r, x in zip(rows, v)}
     count = lambda sets: Counter(k for ws in sets for k in set().union(*(near[w] for w in ws & near.keys())))
     inside, outside = count(toxic), count(other)
@@ -242,6 +265,7 @@ class Model:
             self.landmarks = []
             return self
         self.kernel = Kernel(self.landmarks)
+        self.kernel.harmless = self.kernel.inside(set().union(*other))
         n = len(self.landmarks)
         own = normalised_kernel([x for x in self.landmarks for _ in range(n)], self.landmarks * n).reshape(n, n).astype(np.float64)
         vals, vecs = np.linalg.eigh(own + 1e-3 * np.eye(n))
@@ -257,6 +281,8 @@ class Model:
             s += [1.0 if toxic else -1.0] * len(v)
         # misspelt landmarks with one character put in are examples too
         bent = [f[:i] + c + f[i:] for x in self.landmarks[: n - self.neutral] if len(f := x.strip("{|")) >= 5 for i in range(1, len(f)) for c in "xz"]
+        # so are landmarks inside of longer words
+        bent += [a + x.strip("{|") + b for x in self.landmarks[: n - self.neutral] if len(x.strip("{|")) >= 5 for a in ("xxx", "zzz") for b in ("", "zzz")]
         got, v = self.kernel.values(bent)
         rows += list(v)
         s += [1.0] * len(got)
@@ -294,7 +320,7 @@ class Model:
 
     def sentences(self, texts: list[str | None]) -> list[np.ndarray]:
         """For each text, the largest kernel values by landmark of its sentences that have any."""
-        raw = [words(t or "") for t in texts]
+        raw = [parts(words(t or "")) for t in texts]
         folded = {w: fold(w) for w in set().union(*raw)}
         vocabulary = list(set(folded.values()))
         rows, v = self.kernel.values(vocabulary)
@@ -306,7 +332,7 @@ class Model:
             if not (keys & ws):
                 out.append(none)
                 continue
-            out.append(np.array([v[[hot[w] for w in hit]].max(0) for part in _SENTENCE.split(t) if (hit := keys & words(part))] or [v[[hot[w] for w in keys & ws]].max(0)]))
+            out.append(np.array([v[[hot[w] for w in hit]].max(0) for part in _SENTENCE.split(t) if (hit := keys & parts(words(part)))] or [v[[hot[w] for w in keys & ws]].max(0)]))
         return out
 
     def scores(self, texts: list[str | None]) -> np.ndarray:

@@ -190,6 +190,16 @@ def test_toxicity_on_held_out_rows(spark):
     assert got[1].predicted == 0 and got[4].predicted == 0 and got[1].score < 0.5
 
 
+def test_toxicity_inside_of_tokens():
+    """Glued, joined and spaced insults, also deep in a token; a word known from other texts is none."""
+    rows, y = toxic_rows()
+    model = toxicity.Model().fit([t + (" They sit closer and remoronise." if not k else "") for (_, t), (_, _, k) in zip(rows, y)], [k for *_, k in y])
+    bad = ["thanks,idiot", "you_idiot", "y o u a r e a n i d i o t", "x" * 200 + "idiot", "youmoron", "xyz" * 50 + "stupid" + "xyz" * 50, "see/that;m0ron", "isidiot"]
+    good = ["remoronise", "nothing at all", "x" * 300, "w1ord_w2ord,w3ord"]
+    assert [x for x, s in zip(bad, model.scores([f"w1ord w2ord {x} w3ord" for x in bad])) if s < 0.5] == []
+    assert [x for x, s in zip(good, model.scores([f"w1ord w2ord {x} w3ord" for x in good])) if s >= 0.5] == []
+
+
 def test_toxicity_without_labels(spark):
     docs = frame(spark, EDGES)
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
