@@ -23,7 +23,7 @@ def drop_leaks(spark, docs, sf_dir):
 
 
 def pack(spark, docs, sf_dir):
-    return packing.pack(docs)
+    return packing.pack(docs, added_tokens=True)
 
 
 STAGES = [

@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import array
 import base64
+import json
 import zlib
 
 import pyarrow as pa
@@ -38,7 +39,8 @@ _ENCODERS: dict = {}
 def encoder(path: str):
     """A byte-level BPE encoder, one per worker process.
 
-    The ranks file holds the vocabulary of the tokenizers file of the same name; tests compare ids.
+    The ranks file holds the vocabulary of the tokenizers file of the same name, whose added tokens
+    are the encoder's special tokens; tests compare ids.
     """
     if path not in _ENCODERS:
         import public_tokenizers
@@ -46,7 +48,9 @@ def encoder(path: str):
 
         with open(path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        _ENCODERS[path] = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        with open(path.removesuffix(".tiktoken") + ".json", encoding="utf-8") as f:
+            added = {x["content"]: x["id"] for x in json.load(f)["added_tokens"]}
+        _ENCODERS[path] = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=added)
     return _ENCODERS[path]
 
 
@@ -59,16 +63,20 @@ def cut(n: int, capacity: int = CAPACITY) -> list[tuple[int, int]]:
 _PIECES = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())])
 
 
-def pieces(docs: DataFrame, capacity: int = CAPACITY, end_id: int = END_ID, vocabulary: str | None = None) -> DataFrame:
-    """doc_id, piece, start, length, ids_crc32 of every document's ids and the end id."""
+def pieces(docs: DataFrame, capacity: int = CAPACITY, end_id: int = END_ID, vocabulary: str | None = None, added_tokens: bool = False) -> DataFrame:
+    """doc_id, piece, start, length, ids_crc32 of every document's ids and the end id.
+
+    With added_tokens the vocabulary's added tokens are read in texts, as tokenizers does; else they are text.
+    """
     path = vocabulary or default_vocabulary()
 
     def run(batches):
         enc = encoder(path)
+        special = "all" if added_tokens else set()
         for b in batches:
             rows = []
             for d, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                raw = array.array("I", enc.encode_ordinary(t or ""))
+                raw = array.array("I", enc.encode(t or "", allowed_special=special, disallowed_special=()))
                 raw.append(end_id)
                 mem = memoryview(raw.tobytes())
                 rows += [(d, k, s, n, zlib.crc32(mem[4 * s : 4 * (s + n)])) for k, (s, n) in enumerate(cut(len(raw), capacity))]
@@ -145,10 +153,10 @@ def best_fit(histogram: dict[int, int], capacity: int = CAPACITY) -> tuple[list[
     return out, made
 
 
-def pack(docs: DataFrame, capacity: int = CAPACITY, end_id: int = END_ID, vocabulary: str | None = None) -> DataFrame:
+def pack(docs: DataFrame, capacity: int = CAPACITY, end_id: int = END_ID, vocabulary: str | None = None, added_tokens: bool = False) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
     spark = docs.sparkSession
-    p = materialise(pieces(docs, capacity, end_id, vocabulary), "pieces")
+    p = materialise(pieces(docs, capacity, end_id, vocabulary, added_tokens), "pieces")
     buckets = 4 * max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
     p = p.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(buckets)).cast("int"))
     counts = p.groupBy("length", "bucket").agg(F.count("*").alias("n"))

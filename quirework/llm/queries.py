@@ -26,7 +26,7 @@ def op4_secret_scan(spark, sf_dir):
 
 
 def op5_packing(spark, sf_dir):
-    return packing.pack(read_table(spark, sf_dir, "documents"))
+    return packing.pack(read_table(spark, sf_dir, "documents"), added_tokens=True)
 
 
 def op6_decontamination(spark, sf_dir):

@@ -113,6 +113,21 @@ def test_packing_round_trip(spark, encode):
     assert packing.pack(frame(spark, rows).limit(0)).count() == 0
 
 
+def test_packing_query_reads_added_tokens(spark, tmp_path):
+    """The query's ids are those of an unmodified tokenizer."""
+    import public_tokenizers
+    from quirework.llm import queries
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = ["a<|endoftext|>b", "<|endoftext|>", " <|endoftext|> x", "one <|endoftext|><|endoftext|>\n two", "<|endoftext", "ünï 😀 it's"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: r for r in queries.op5_packing(spark, str(tmp_path)).collect()}
+    for d, t in enumerate(texts):
+        ids = plain.encode(t, add_special_tokens=False).ids + [2]
+        assert (got[d].length, got[d].ids_crc32) == (len(ids), zlib.crc32(b"".join(x.to_bytes(4, "little") for x in ids))), t
+
+
 def test_best_fit_equals_one_by_one():
     """Runs of bins give the same fill levels as best-fit-decreasing piece by piece."""
     histogram = {k: (k * 7919) % 23 for k in range(1, 100)}
