@@ -36,7 +36,9 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 #: A table of at most so many narrow rows (ids, hashes, counts: under 100 bytes each) may be broadcast.
-BROADCAST_ROWS = 500_000
+BROADCAST_ROWS = 50_000
+#: A hub's edges are dealt to so many tasks.
+SALTS = 8
 
 
 def small_side(df: DataFrame, name: str, most: int = BROADCAST_ROWS) -> DataFrame:
@@ -60,11 +62,30 @@ def text_or_empty(c: str | Column) -> Column:
     return F.coalesce(F.col(c) if isinstance(c, str) else c, F.lit(""))
 
 
+def keep_one(docs: DataFrame, verdicts: DataFrame, key: Column, name: str) -> DataFrame:
+    """The rows of docs with a verdict ``kept``, one of those that agree in doc_id and key.
+
+    verdicts has a row for each of docs: doc_id, kept and the key's value as column ``name``.
+    Texts move once at most; only rows that are repeated are aggregated.
+    """
+    at, k = free_name(docs, "_at"), free_name(docs, "_k")
+    seen = verdicts.groupBy(F.col("doc_id").alias(at), F.col(name).alias(k)).agg(F.min("kept").alias("kept"), F.count("*").alias("n"))
+    told = materialise(seen.where("not kept or n > 1"), "told")
+    same = lambda side: docs["doc_id"].eqNullSafe(side[at]) & (key == side[k])
+    drop = told.select(at, k)
+    out = docs.join(drop, same(drop), "left_anti")
+    again = told.where("kept").select(at, k)
+    if again.isEmpty():
+        return out
+    again = small_side(again, "again")
+    return out.unionAll(docs.join(again, same(again)).dropDuplicates([at, k]).select(*docs.columns))
+
+
 def connected_components(edges: DataFrame, name: str = "cc", max_rounds: int = 60) -> DataFrame:
     """(u, v) edges of long ids -> (node, comp), comp = the smallest id in the component.
 
     Alternating large-star and small-star rounds over DataFrames: each round is aggregations
-    with map-side combining and equi-joins (a hub's rows are split by AQE), and its result is
+    with map-side combining and equi-joins (a hub's rows are salted), and its result is
     written to the shared folder.  Self edges and nulls are ignored; an empty table gives an
     empty result.  Nodes that are in no edge are not returned.
     """
@@ -75,8 +96,10 @@ def connected_components(edges: DataFrame, name: str = "cc", max_rounds: int = 6
     for i in range(1, max_rounds + 1):
         both = cur.union(cur.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        # larger neighbours of each node go to the node's smallest neighbour
-        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        # larger neighbours of each node go to the node's smallest neighbour; a hub's are dealt out by salt
+        salted = both.where("v > u").withColumn("s", F.pmod(F.xxhash64("v"), F.lit(SALTS)))
+        every = low.withColumn("s", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+        large = salted.join(every, ["u", "s"]).select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         # then every node and its smaller neighbours go to the smallest of them
         down = large.groupBy("u").agg(F.min("v").alias("m"))
         small = (

@@ -6,9 +6,11 @@ chunks with one hash get different ordinals), and documents are equal when their
 identifier lists are equal.  Only distinct chunks are shuffled as text, once; documents move as
 short lists of integers.
 
-Defined cases: null text counts as empty; all empty texts form one group; a null doc_id is kept
-only where its whole group has none; fully repeated rows share one verdict; extra columns are
-ignored by :func:`verdicts` and returned by :func:`deduplicate`.
+Defined cases: null text counts as empty; all empty texts form one group; a very long text is a
+longer list; of equally long texts the smallest doc_id stays, and a null doc_id only where its
+whole group has none; fully repeated rows share one verdict, and :func:`deduplicate` keeps one of
+them; an empty table gives an empty result; extra columns are ignored by :func:`verdicts` and
+returned by :func:`deduplicate`.
 """
 
 from __future__ import annotations
@@ -16,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import BLANKS, materialise, text_or_empty
+from .common import BLANKS, keep_one, materialise, text_or_empty
 
 #: A chunk ends where these character classes meet, after 256 characters at least and 4096 at most.
 CHUNK = r"(?s).{256,4096}?(?:(?<=[bdgkpvwzäéíóßBDGKPVWZ0-4][aeiouüèñ][nrstmcNRST5-9])|\z)|.{1,4096}"
@@ -83,6 +85,5 @@ def verdicts(docs: DataFrame, pattern: str = CHUNK, hash_fn=F.xxhash64) -> DataF
 
 
 def deduplicate(docs: DataFrame) -> DataFrame:
-    """The rows of docs that stay.  Documents move once, keyed by doc_id and text hash."""
-    drop = verdicts(docs).where(~F.col("kept")).select(F.col("doc_id").alias("_d"), F.col("text_sha256").alias("_s")).distinct()
-    return docs.join(drop, docs["doc_id"].eqNullSafe(drop["_d"]) & (F.sha2(normalised(docs["text"]), 256) == drop["_s"]), "left_anti")
+    """The rows of docs that stay, one of those that repeat.  Documents move once, keyed by doc_id and text hash."""
+    return keep_one(docs, verdicts(docs), F.sha2(normalised(docs["text"]), 256), "text_sha256")

@@ -3,6 +3,7 @@ import re
 from collections import defaultdict
 from itertools import combinations
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 from quirework.llm import exact_dedup, line_dedup, near_dup
@@ -114,11 +115,79 @@ def test_near_matches_brute_force(spark, block_rows):
     assert sorted(map(tuple, got)) == brute_near(near_rows())
 
 
+def test_near_template_family(spark):
+    """Many sets that share most of a template and are not linked, with copies among them; regions and blocks are tiny."""
+    base, rows = words(120, 700), []
+    for k in range(60):
+        w = list(base)
+        for i in range(3):
+            w[(i * 40 + k // 2) % 120] = f"own{k // 2 if i < 2 else k}x{i}"
+        rows.append((k, " ".join(w)))
+    want = brute_near(rows)
+    assert 1 < len({r[2] for r in want}) < 60
+    got = near_dup.components(frame(spark, rows), block_rows=6, crowd=4).select("doc_id", "n_shingles", "component_id", "kept").collect()
+    assert sorted(map(tuple, got)) == want
+
+
+def test_near_links_what_brute_force_links(spark):
+    """Recall against all pairs of the documents that share a shingle: every component is the same."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    rows = [tuple(r) for r in docs.collect()]
+    sets, by, low = {d: shingle_set(t) for d, t in rows}, defaultdict(list), {d: d for d, _ in rows}
+    for d, s in sets.items():
+        for x in s:
+            by[x].append(d)
+
+    def find(x):
+        while low[x] != x:
+            x = low[x]
+        return x
+
+    for a, b in {p for ds in by.values() for p in combinations(sorted(ds), 2)}:
+        if 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b]):
+            x, y = sorted((find(a), find(b)))
+            low[y] = x
+    got = near_dup.components(docs).collect()
+    assert {r.doc_id: r.component_id for r in got} == {d: find(d) for d, _ in rows}
+
+
+def test_regions_of_sorted_keys():
+    rng = np.random.default_rng(3)
+    low = rng.integers(0, 3, (400, 2 * near_dup.DEEP)).astype(np.uint64)
+    low[:200] = low[0]
+    low[:200, -4:] = rng.integers(0, 2, (200, 4))
+    keys = [near_dup.sort_keys(x) for x in low]
+    keys = sorted(zip(np.concatenate([k[0] for k in keys]).tolist(), np.concatenate([k[1] for k in keys]).tolist()))
+    hi, lo = (np.array(x, np.int64) for x in zip(*keys))
+    lanes = [[(h >> s) & ((1 << n) - 1) for s, n in ((56, 8), (42, 14), (28, 14), (14, 14), (0, 14))] + [(x >> s) & 0xFFFF for s in (48, 32, 16, 0)] for h, x in keys]
+
+    def shared(a, b):
+        n = 0
+        while n < 9 and lanes[a][n] == lanes[b][n]:
+            n += 1
+        return max(0, n - 1) if n else 0
+
+    assert near_dup.common_prefix(hi, lo).tolist() == [shared(i, i + 1) for i in range(len(keys) - 1)]
+    depth, size, linked, edge = near_dup.regions(hi, lo, crowd=10)
+    for i in range(len(keys)):
+        d = next(d for d in range(near_dup.SHALLOW, near_dup.DEEP + 1) if d == near_dup.DEEP or sum(shared(i, j) >= d for j in range(len(keys)) if j != i) < 10)
+        assert depth[i] == d and size[i] == 1 + sum(shared(i, j) >= d for j in range(len(keys)) if j != i)
+        assert linked[i] == (i > 0 and shared(i - 1, i) >= d)
+        assert edge[i] == any(i == j or shared(i, j) >= d for j in (0, len(keys) - 1))
+
+
+def test_repeated_rows_leave_one(spark):
+    rows = [(1, "a b c d e f"), (1, "a b c d e f"), (2, None), (2, None), (None, "x y"), (None, "x y"), (3, "a b c d e f")]
+    docs = frame(spark, rows)
+    assert sorted((r.doc_id for r in exact_dedup.deduplicate(docs).collect()), key=repr) == [1, 2, None]
+    assert sorted((r.doc_id for r in near_dup.deduplicate(docs).collect()), key=repr) == [1, 2, None]
+
+
 def test_near_deduplicate_and_empty(spark):
     docs = frame(spark, near_rows())
     kept = near_dup.deduplicate(docs)
     assert kept.columns == docs.columns
-    assert sorted(r.doc_id for r in kept.collect()) == sorted(r[0] for r in brute_near(near_rows()) if r[3])
+    assert sorted(r.doc_id for r in kept.collect()) == sorted({r[0] for r in brute_near(near_rows()) if r[3]})
     assert near_dup.components(docs.limit(0)).count() == 0
     assert near_dup.components(frame(spark, [(None, "a b c d e f"), (None, "a b c d e f")])).count() == 2
 
