@@ -1,25 +1,33 @@
 """Toxicity: a support vector machine on a gap-weighted subsequence string kernel with Nystroem landmarks.
 
-Words are folded (case, look-alike digits and signs, marks inside a word; single letters
-in a row are joined, also as a whole), so ``S-t.u p1d`` style spellings meet their landmark.  The
-kernel of a word and a landmark counts common subsequences of up to three characters, each
-weighted by DECAY to the power of the span it covers in both, so gaps and inserted characters
-cost something but not everything; it is normalised to 0..1.  Landmarks are character strings
-that tell labelled toxic sentences from others, and neutral words.  A document is its sentences'
-words: a feature is the largest kernel value with a landmark over the whole text, mapped by the
-inverse root of the landmarks' own kernel matrix (Nystroem), scored by a linear SVM, and turned
-into a probability by a logistic curve fitted on the training margins.
+Words are folded (case, look-alike digits and signs, marks inside a word; single letters in a row
+are joined, also as a whole; text without blanks gives a form for each of its characters), so
+``S-t.u p1d`` style spellings meet their landmark.  The kernel of two strings counts common
+subsequences of up to three characters, each weighted by DECAY to the power of the span it covers
+in both, so gaps and inserted characters cost something but not everything; it is normalised to
+0..1.  The value of a word with a landmark is the largest kernel of the landmark with a window of
+the word, at its start or inside of it.
+
+Landmarks are beginnings of words that labelled toxic texts have significantly more often than
+others; they may be in others too.  Values count from a floor on, which each landmark has by what
+the training texts show: the lowest at which words between it and 1 still tell toxic texts.  A
+document is, for each landmark, its largest value and its values' share of all words, both mapped by
+the inverse root of the landmarks' own kernel matrix (Nystroem), scored by a linear SVM, and turned
+into a probability by a logistic curve fitted on the training margins.  No input but the text is used.
 
 Training takes at most SAMPLE labelled documents of each class, by hash order, and never one
-whose crc32(doc_id as text) mod 5 is 0.  Everything else reads every row and whole text.
+whose crc32(doc_id as text) mod 5 is 0.  Everything else reads every row and whole text.  The model
+is fitted in one executor task from the sample's words, and the driver gets the model alone.
 
-Defined cases: null and empty texts get the score of a text without any landmark; without both
-classes in the training rows the score is the share of toxic ones (0 without rows); repeated rows
-are scored alike; extra columns are ignored or kept as they are.
+Defined cases: null and empty texts get the score of a text without any landmark; very long texts
+are read whole; without both classes in the training rows the score is the share of toxic ones (0
+without rows); an empty table gives an empty result; repeated rows are scored alike, and a doc_id
+with several texts trains with the smallest; extra columns are ignored or kept as they are.
 """
 
 from __future__ import annotations
 
+import pickle
 import re
 import unicodedata
 import zlib
@@ -32,269 +40,357 @@ from pyspark.sql import functions as F
 
 from .common import free_name, text_or_empty
 
-SAMPLE, LANDMARKS, NEUTRAL = 1500, 48, 4
-DECAY, ORDER, LONGEST, SHARP = 0.7, 3, 24, 2
+SAMPLE, LANDMARKS = 1500, 64
+DECAY, ORDER, SHARP = 0.7, 3, 2
 RIDGE = 0.05
-#: A landmark is in at least so many toxic training texts, in this share of them, and so many times as often as in others.
-MIN_SUPPORT, MIN_SHARE, MIN_RATIO = 3, 0.015, 8.0
-#: A kernel value from which a word counts as a spelling of a landmark in training.
-NEAR = 0.4
+#: A landmark is in so many toxic training texts at least, has so many letters, and tells them with this much likelihood ratio (twice its log).
+MIN_SUPPORT, MIN_LETTERS, LONGEST, MIN_TELLING, MIN_RATIO = 3, 3, 24, 20.0, 3.0
+#: Values count from one of these on, and a share of words that counts half.
+FLOORS, HALF = (0.4, 0.55, 0.7, 0.85, 0.99), 0.01
+#: A window has at most so many characters more than its landmark.
+SLACK = 3
+#: So many words are remembered by a worker.
+MEMORY = 400_000
 
 _LOOKS = str.maketrans({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "!": "i"})
-_LETTERS = frozenset("abcdefghijklmnopqrstuvwxyz" + "".join(map(chr, range(0xDF, 0x100))))
-_SENTENCE = re.compile(r"[.!?]+\s+|\n")
+_LATIN = frozenset("abcdefghijklmnopqrstuvwxyz" + "".join(map(chr, range(0xDF, 0x100)))) - {"\xf7"}
+_ENDS = ".,;:!?\"'()[]"
 _INNER = re.compile(r"[^\w@$]+|_+")
 _SINGLES = re.compile(r"(?<!\S)\S(?:[ \t]+\S){2,}(?!\S)")
+#: Scripts that put no blanks between words.
+_SOLID = re.compile("[฀-໿က-႟ក-៿぀-ヿ㐀-鿿豈-﫿]{2,}")
+OPEN, CLOSE = "{", "|"
+_FACTORS = np.random.default_rng(7).integers(1, 2**63, LONGEST + SLACK + 2, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 def fold(word: str) -> str:
-    """Lower-case Latin-1 letters of a word, other accents and marks gone, look-alikes resolved."""
-    w = word.lower().strip(".,;:!?\"'()[]")
+    """Lower-case letters of a word in any script, marks and accents beyond Latin-1 gone, look-alikes resolved."""
+    w = word.lower().strip(_ENDS)
     if not w.isascii() or not w.isalpha():
         w = w.translate(_LOOKS)
-        if not all(c in _LETTERS for c in w):
-            w = "".join(x for c in w for x in (c if c in _LETTERS else unicodedata.normalize("NFKD", c)) if x in _LETTERS)
+        if not all(c in _LATIN for c in w):
+            w = "".join(x for c in w for x in (c if c in _LATIN else unicodedata.normalize("NFKD", c)) if x in _LATIN or (x > "\xff" and x.isalpha()))
     return w
 
 
-def ends(word: str) -> str:
-    """A word with marks at its ends."""
-    return "{" + word + "|"
+def forms(token: str) -> set[str]:
+    """The folded forms of a token: as a whole, what stands between its marks, and places in unspaced scripts."""
+    plain = token.strip(_ENDS)
+    if plain.isalpha() and plain.islower() and (plain.isascii() or _LATIN.issuperset(plain)):
+        return {plain}
+    out = {fold(x) for x in ({token} if token.isalnum() else {token, *_INNER.split(token)})}
+    if not token.isascii():
+        out |= {m[0][i : i + 8] for x in list(out) for m in _SOLID.finditer(x) for i in range(len(m[0]))}
+    return out - {""}
 
 
-def words(text: str) -> set[str]:
-    """The distinct raw words of a text, and single characters in a row as one word."""
-    out = set(text.split())
+def tokens(text: str | None) -> Counter:
+    """How often each raw word, in lower case, is in a text; single characters in a row make one more word."""
+    text = (text or "").lower()
+    out = Counter(text.split())
     for m in _SINGLES.finditer(text):
-        out.add("".join(m[0].split()))
+        out["".join(m[0].split())] += 1
     return out
 
 
-def parts(ws: set[str]) -> set[str]:
-    """The words, and what stands between marks inside of them, as words of their own."""
-    return ws.union(*(_INNER.split(w) for w in ws if not w.isalnum())) - {""}
+def codes(items: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Code points of all strings after one another, and where each begins, with the end."""
+    raw = np.frombuffer("".join(items).encode("utf-32-le", "surrogatepass"), np.uint32)
+    return raw, np.concatenate(([0], np.cumsum(np.fromiter(map(len, items), np.int64, len(items)))))
 
 
 def _table(items: list[str], width: int) -> np.ndarray:
-    """Latin-1 codes, 0 beyond the end; { and | are word ends."""
-    raw = np.zeros((len(items), width), np.uint8)
-    for i, w in enumerate(items):
-        b = np.frombuffer(w[:width].encode("latin-1"), np.uint8)
-        raw[i, : len(b)] = b
-    return raw
+    """Code points in rows, 0 beyond the end."""
+    raw, at = codes(items)
+    place = np.arange(width)
+    inside = place < np.diff(at)[:, None]
+    return np.where(inside, np.append(raw, 0)[np.minimum(at[:-1, None] + place, len(raw))], 0).astype(np.uint32)
 
 
-def subsequence_kernel(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Sum over lengths 1..ORDER of the gap-weighted subsequence kernel of row pairs (Lodhi et al. 2002).
+def _powers(n: int) -> np.ndarray:
+    """DECAY to the power of column less row, 0 below."""
+    step = np.arange(n)[None, :] - np.arange(n)[:, None]
+    return np.where(step >= 0, DECAY ** np.maximum(step, 0), 0).astype(np.float32)
 
-    The common ends of the two matrices' rows are cut off at zeros; length 1 counts little.
+
+def kernel_parts(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """For row pairs, what each pair of last characters adds to the gap-weighted subsequence kernel (Lodhi et al. 2002).
+
+    Sums over lengths 1 to ORDER; length 1 counts little.  Zeros match nothing.  A sum over the first
+    i and j characters is the kernel of the two beginnings.
     """
-    n, la, lb = len(a), a.shape[1], b.shape[1]
-    match = (a[:, :, None] == b[:, None, :]) & (a[:, :, None] > 0)
-    total = np.zeros(n, np.float32)
-    k1 = np.ones((n, la + 1, lb + 1), np.float32)
-    d, d2 = np.float32(DECAY), np.float32(DECAY * DECAY)
-    for order in range(1, ORDER + 1):
-        hit = match * k1[:, :-1, :-1] * d2
-        total += hit.sum((1, 2)) * np.float32(4.0 ** (order - 2))
-        if order == ORDER:
-            break
-        nxt = np.zeros_like(k1)
-        for i in range(1, la + 1):
-            row = np.zeros(n, np.float32)
-            for j in range(1, lb + 1):
-                row = d * row + hit[:, i - 1, j - 1]
-                nxt[:, i, j] = d * nxt[:, i - 1, j] + row
-        k1 = nxt
-    return total
+    hit = ((a[:, :, None] == b[:, None, :]) & (a[:, :, None] > 0)).astype(np.float32) * np.float32(DECAY * DECAY)
+    match, out = hit, hit * np.float32(0.25)
+    left, right = _powers(a.shape[1]).T, _powers(b.shape[1])
+    for order in range(2, ORDER + 1):
+        before = np.zeros_like(hit)
+        before[:, 1:, 1:] = (left @ hit @ right)[:, :-1, :-1]
+        hit = match * before
+        out += hit * np.float32(4.0 ** (order - 2))
+    return out
 
 
 def normalised_kernel(a: list[str], b: list[str]) -> np.ndarray:
     """Kernel values of row pairs, 0 to 1, raised to SHARP (a product of kernels is a kernel)."""
     ta, tb = _table(a, max(map(len, a))), _table(b, max(map(len, b)))
-    return (subsequence_kernel(ta, tb) / np.sqrt(subsequence_kernel(ta, ta) * subsequence_kernel(tb, tb))) ** SHARP
+    k = lambda x, y: kernel_parts(x, y).sum((1, 2))
+    return (k(ta, tb) / np.sqrt(k(ta, ta) * k(tb, tb))) ** SHARP
+
+
+def window_values(windows: np.ndarray, landmark: str) -> np.ndarray:
+    """For rows of characters, the largest normalised kernel of one of their beginnings with the landmark."""
+    b = _table([landmark], len(landmark))
+    own = float(kernel_parts(b, b).sum())
+    out = np.zeros(len(windows), np.float32)
+    least = max(1, len(landmark) - 2)
+    for at in range(0, len(windows), 4096):
+        a = windows[at : at + 4096]
+        with_it = kernel_parts(a, np.broadcast_to(b, (len(a), b.shape[1]))).sum(2).cumsum(1)
+        alone = np.einsum("nii->ni", kernel_parts(a, a).cumsum(1).cumsum(2))
+        k = (with_it / np.sqrt(np.maximum(alone, 1e-12) * own)) ** SHARP
+        out[at : at + 4096] = k[:, least - 1 :].max(1)
+    return out
 
 
 class Kernel:
-    """Kernel values of words with fixed landmarks.
+    """Values of words with fixed landmarks.
 
-    The value counts where a landmark's characters, or all but one after the first letter, come in
-    order in a window of the word, with at most two others between neighbours; elsewhere it is 0.
-    A window may start at any place of a word; only one at the word's start has the mark of a start.
-    In harmless words, those of training texts that are not toxic, the others don't count.
+    A window is looked at if it has all but one of the landmark's distinct letters; that bounds the work, and
+    tests compare it with all windows.
     """
 
-    def __init__(self, landmarks: list[str], harmless: set[str] = frozenset()):
+    def __init__(self, landmarks: list[str], floors: list[float] | None = None, inside: list[bool] | None = None, harmless: set[str] = frozenset()):
+        n = len(landmarks)
         self.landmarks, self.harmless = landmarks, harmless
-        gap = r"[^\n]{0,2}?"
-        spaced = lambda x: gap.join(map(re.escape, x))
-        less = lambda x, first: [x, *dict.fromkeys(x[:i] + x[i + 1 :] for i in range(first, len(x)))]
-        self.windows = []
-        for lm in landmarks:
-            core = lm.strip("{|")
-            inner = "|".join(map(spaced, less(core, 1)))
-            # a lookahead, so that no window hides a better one that starts inside it
-            self.windows.append(re.compile(rf"(?=[{{{re.escape(core[:1])}])(?=({'|'.join(map(spaced, less(lm, 2)))}|(?:{inner})(?:{gap}\|)?))"))
-        self.letters = [np.uint32(sum({1 << (ord(c) & 31) for c in {*lm} - {*"{|"}})) for lm in landmarks]
-        self.known: list[dict[str, float]] = [{} for _ in landmarks]
-
-    def inside(self, items: set[str]) -> set[str]:
-        """The folded words in which a landmark may stand beyond the start."""
-        letters = [{*x.strip("{|")} for x in self.landmarks]
-        return {w for w in items if any(len(x - {*w}) < 2 for x in letters) and any(m.start() for rx in self.windows for m in rx.finditer(ends(w)))}
-
-    def values(self, items: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        self.floors = np.array(floors if floors is not None else [FLOORS[0]] * n, np.float32)
+        self.inside = inside if inside is not None else [True] * n
+        bit = lambda c: 1 << (ord(c) & 63)
+        self.letters = [np.uint64(sum({bit(c) for c in {*x} - {OPEN, CLOSE}})) for x in landmarks]
+
+    def values(self, items: list[str], start: bool = True, inner: bool = True) -> tuple[np.ndarray, np.ndarray]:
         """(row numbers, values) of the folded words that have any value."""
+        n = len(self.landmarks)
         if not items:
-            return np.zeros(0, np.int64), np.zeros((0, len(self.landmarks)), np.float32)
-        raw = np.frombuffer("{".join(items).encode("latin-1") + b"{", np.uint8)
-        lengths = np.fromiter(map(len, items), np.int64, len(items)) + 1
-        letters = np.bitwise_or.reduceat(np.uint32(1) << (raw & 31).astype(np.uint32), np.cumsum(lengths) - lengths)
+            return np.zeros(0, np.int64), np.zeros((0, n), np.float32)
+        raw, at = codes([OPEN + x + CLOSE for x in items])
+        bits = np.uint64(1) << (raw & np.uint32(63)).astype(np.uint64)
+        has = np.bitwise_or.reduceat(bits, at[:-1])
+        raw = np.append(raw, np.zeros(LONGEST + SLACK + 2, np.uint32))
         hits = []
-        for x, (rx, known) in enumerate(zip(self.windows, self.known)):
-            # only words with all but one of its letters are searched
-            lack = self.letters[x] & ~letters
-            near = np.flatnonzero((lack & (lack - (lack > 0))) == 0)
-            starts = np.cumsum(lengths[near] + 2) - (lengths[near] + 2)
-            found = [(m.start(), m[1]) for m in rx.finditer("\n".join([ends(items[i]) for i in near]))]
-            if not found:
+        for x, landmark in enumerate(self.landmarks):
+            few = lambda lack: (lack & (lack - (lack > 0).astype(np.uint64))) == 0
+            near = np.flatnonzero(few(self.letters[x] & ~has))
+            if not len(near):
                 continue
-            rows = near[np.searchsorted(starts, [a for a, _ in found], "right") - 1]
-            if self.harmless:
-                counts = [w[0] == "{" or items[i] not in self.harmless for i, (_, w) in zip(rows, found)]
-                rows, found = rows[counts], [f for f, c in zip(found, counts) if c]
-            new = list({w for _, w in found if w not in known})
-            for at in range(0, len(new), 2048):
-                part = new[at : at + 2048]
-                known.update(zip(part, normalised_kernel(part, [self.landmarks[x]] * len(part)).tolist()))
-            hits.append((x, rows, np.array([known[w] for _, w in found], np.float32)))
+            width = len(landmark) + SLACK
+            where, rows = [], []
+            if start:
+                where.append(at[near]), rows.append(near)
+            if inner and self.inside[x]:
+                sizes = np.maximum(at[near + 1] - at[near] - 3, 0)  # beginnings after the first letter, before the end mark
+                r = np.repeat(near, sizes)
+                p = np.arange(len(r)) - np.repeat(np.cumsum(sizes) - sizes, sizes) + at[r] + 2
+                if self.harmless:
+                    known = np.array([items[i] in self.harmless for i in near])
+                    p, r = (v[~np.repeat(known, sizes)] for v in (p, r))
+                where.append(p), rows.append(r)
+            if not where:
+                continue
+            p, r = np.concatenate(where), np.concatenate(rows)
+            place = p[:, None] + np.arange(width)
+            windows = np.where(place < at[r + 1][:, None], raw[place], 0)
+            if len(windows):
+                full = few(self.letters[x] & ~np.bitwise_or.reduce(np.where(windows > 0, np.uint64(1) << (windows & 63).astype(np.uint64), np.uint64(0)), axis=1))
+                windows, r = windows[full], r[full]
+            if not len(windows):
+                continue
+            # equal windows once, told apart by a 64-bit hash
+            _, one, back = np.unique((windows * _FACTORS[:width]).sum(1), return_index=True, return_inverse=True)
+            v = window_values(windows[one], landmark)[back]
+            some = v >= self.floors[x]
+            hits.append((x, r[some], v[some]))
         rows = np.unique(np.concatenate([r for _, r, _ in hits])) if hits else np.zeros(0, np.int64)
-        out = np.zeros((len(rows), len(self.landmarks)), np.float32)
+        out = np.zeros((len(rows), n), np.float32)
         for x, r, v in hits:
             np.maximum.at(out[:, x], np.searchsorted(rows, r), v)
         return rows, out
 
 
-def unlike(sets: list[set[str]]) -> list[set[str]]:
-    """One of the sets whose rare words have the same minimum hash, as those of near copies mostly do.
+def unlike(docs: list[Counter]) -> list[Counter]:
+    """One of the documents whose rare words have the same minimum hash, as those of near copies mostly do.
 
     Else what copies of one toxic text share would look like an insult.
     """
-    n = Counter(w for s in sets for w in s)
-    rare = len(sets) * 0.03 + 1
-    return list({min((zlib.crc32(w.encode()) for w in s if n[w] <= rare), default=-1 - i): s for i, s in enumerate(sets)}.values())
-
-
-def find_landmarks(toxic: list[set[str]], other: list[set[str]]) -> list[str]:
-    """Strings that tell toxic texts, found from the first four letters of words and grown while texts agree."""
-
-    def grams(ws: set[str]) -> set[str]:
-        return {w[:5] for w in ws}
-
-    # a word of a non-toxic training text is no insult; that leaves few to count strings of
-    clean = Counter(w for ws in other for w in ws)
-    rest = unlike([{ends(w) for w in ws if w not in clean} for ws in toxic])
-    toxic = rest
-    least = max(MIN_SUPPORT, len(toxic) * MIN_SHARE)
-    inside = Counter({g: n for g, n in Counter(g for ws in rest for g in grams(ws)).items() if n >= least})
-    outside = Counter()
-    for w, n in clean.items():
-        for g in grams({ends(w)}) & inside.keys():
-            outside[g] += n
-    scale = len(other) / max(1, len(toxic))
-    good = sorted((-n, g) for g, n in inside.items() if n * scale >= MIN_RATIO * (outside[g] + 0.5))
-    told = {g for _, g in good}
-    marked = [{w for w in ws if grams({w}) & told} for ws in rest]
+    n = Counter(w for d in docs for w in d)
+    rare = len(docs) * 0.03 + 1
+    return list({min((zlib.crc32(w.encode("utf-8", "surrogatepass")) for w in d if n[w] <= rare), default=-1 - i): d for i, d in enumerate(docs)}.values())
+
+
+def telling(a, b, na: int, nb: int):
+    """Twice the log of the likelihood ratio of counts a of na against b of nb, 0 where b is the more frequent."""
+    a, b = np.asarray(a, np.float64), np.asarray(b, np.float64)
+    ea, eb = (a + b) * na / (na + nb), (a + b) * nb / (na + nb)
+    g = 2 * (a * np.log(np.maximum(a, 1e-9) / np.maximum(ea, 1e-9)) + np.where(b > 0, b * np.log(np.maximum(b, 1e-9) / np.maximum(eb, 1e-9)), 0))
+    return np.where(a * nb > b * na, g, 0.0)
+
+
+def find_landmarks(toxic: list[Counter], other: list[Counter]) -> list[str]:
+    """Beginnings of words that tell toxic texts, the most telling first; words that one explains no longer speak for another."""
+    na, nb = len(toxic), len(other)
+    inside, outside = (Counter() for _ in "ab")
+    for docs, total in ((toxic, inside), (other, outside)):
+        for d in docs:
+            for w, c in d.items():
+                total[w] += min(c, 3)
+    marked = {w: OPEN + w + CLOSE for w in inside}
+
+    def least(w: str) -> int:
+        return 3 if _SOLID.match(w) else MIN_LETTERS + 1
+
+    def beginnings(w: str, total: int, into: Counter):
+        m = OPEN + w + CLOSE
+        for k in range(least(w), min(len(m), 10) + 1):
+            into[m[:k]] += total
+
+    a, b = Counter(), Counter()
+    for w, c in inside.items():
+        beginnings(w, c, a)
+    a = Counter({g: c for g, c in a.items() if c >= MIN_SUPPORT})
+    of_b = Counter()
+    for w, c in outside.items():
+        beginnings(w, c, of_b)
+    b = Counter({g: of_b[g] for g in a})
+    told = np.array([a[g] for g in a]), np.array([b[g] for g in a])
+    if not a:
+        return []
+    worth = telling(*told, na, nb)
+    names = [g for g, ok in zip(a, (worth >= MIN_TELLING) & (told[0] * nb >= MIN_RATIO * told[1] * na)) if ok]
+    by_start: dict[str, list[str]] = {}
+    for w in inside:
+        by_start.setdefault(marked[w][:3], []).append(w)
     found: list[str] = []
-    for _, g in good:
-        if any(g in f for f in found) or len(found) >= LANDMARKS - NEUTRAL:
-            continue
-        # words that a landmark explains no longer speak for another
-        marked = [{w for w in ws if not any(f in w for f in found)} for ws in marked]
-        if sum(any(g in w for w in ws) for ws in marked) < least:
+    gone: set[str] = set()
+    while names and len(found) < LANDMARKS:
+        scores = {}
+        for g in names:
+            scores[g] = float(telling(a[g], b[g], na, nb)) if a[g] >= MIN_SUPPORT and a[g] * nb >= MIN_RATIO * b[g] * na else 0.0
+        g = max(scores, key=lambda g: (scores[g], len(g), g))
+        if scores[g] < MIN_TELLING:
+            break
+        names = [x for x in names if scores[x] >= MIN_TELLING and x != g]
+        words = [w for w in by_start[g[:3]] if marked[w].startswith(g) and w not in gone]
+        if sum(any(w in d for w in words) for d in toxic) < MIN_SUPPORT:
             continue
-        by_word = Counter(w for ws in marked for w in ws)
-        fits = {w: c for w, c in by_word.items() if g in w}
-        while len(g) < LONGEST:
+        # as much of it as nearly all of these words share
+        long = g
+        while len(long) < LONGEST:
             nexts = Counter()
-            for w, c in fits.items():
-                if w.startswith(g):
-                    nexts[w[len(g) : len(g) + 1]] += c
+            for w in words:
+                if marked[w].startswith(long):
+                    nexts[marked[w][len(long) : len(long) + 1]] += inside[w]
             x, c = nexts.most_common(1)[0]
-            if not x or c < 0.8 * nexts.total():
+            if not x or c < 0.9 * nexts.total():
                 break
-            g += x
-        if not any(f in g for f in found):
-            found.append(g)
-    neutral = [ends(w) for w, _ in sorted(clean.most_common(200), key=lambda x: (-x[1], x[0])) if 5 <= len(w) <= 12]
-    return found + neutral[:NEUTRAL]
-
-
-def telling(landmarks: list[str], toxic: list[set[str]], other: list[set[str]]) -> list[str]:
-    """The landmarks whose spellings, by the kernel itself, are MIN_RATIO times as frequent in toxic texts."""
-    if not landmarks:
-        return []
-    vocabulary = sorted(set().union(*toxic, *other))
-    rows, v = Kernel(landmarks, set().union(*other)).values(vocabulary)
-    near = {vocabulary[r]: set(np.flatnonzero(x >= NEAR).tolist()) for r, x in zip(rows, v)}
-    count = lambda sets: Counter(k for ws in sets for k in set().union(*(near[w] for w in ws & near.keys())))
-    inside, outside = count(toxic), count(other)
-    scale = len(other) / max(1, len(toxic))
-    return [x for k, x in enumerate(landmarks) if inside[k] * scale >= MIN_RATIO * (outside[k] + 0.5)]
+            long += x
+        found.append(long)
+        gone.update(words)
+        for w in words:
+            for k in range(least(w), min(len(marked[w]), 10) + 1):
+                a[marked[w][:k]] -= inside[w]
+        for w, c in outside.items():
+            m = OPEN + w + CLOSE
+            if m.startswith(g):
+                for k in range(least(w), min(len(m), 10) + 1):
+                    if m[:k] in b:
+                        b[m[:k]] -= c
+    return found
 
 
 class Model:
-    """Landmarks, their Nystroem map, the SVM's weights and the logistic curve."""
+    """Landmarks with their floors, their Nystroem map, the SVM's weights and the logistic curve."""
 
     def __init__(self, share: float = 0.0):
         self.share, self.landmarks = share, []
 
     def fit(self, texts: list[str], labels: list[int]) -> Model:
+        return self.fit_tokens([tokens(t) for t in texts], labels)
+
+    def fit_tokens(self, docs: list[Counter], labels: list[int]) -> Model:
         y = np.array(labels)
         self.share = float(y.mean()) if len(y) else 0.0
         if len(set(labels)) < 2:
             return self
-        sets = [{f for w in words(t) if (f := fold(w))} for t in texts]
-        clean = {ends(w) for s, t in zip(sets, y) if not t for w in s}
-        toxic, other = [s for s, t in zip(sets, y) if t], [s for s, t in zip(sets, y) if not t]
-        found = find_landmarks(toxic, other)
-        neutral = [x for x in found if x in clean]
-        self.landmarks = telling([x for x in found if x not in clean], toxic, other) + neutral
-        self.neutral = len(neutral)
-        if len(self.landmarks) == self.neutral:
-            self.landmarks = []
+        known = {w: forms(w) for w in set().union(*docs)}
+        folded = []
+        for d in docs:
+            c = Counter()
+            for w, n in d.items():
+                for f in known[w]:
+                    c[f] += n
+            folded.append(c)
+        toxic, other = [d for d, t in zip(folded, y) if t], [d for d, t in zip(folded, y) if not t]
+        self.landmarks = find_landmarks(unlike(toxic), other)
+        if not self.landmarks:
             return self
-        self.kernel = Kernel(self.landmarks)
-        self.kernel.harmless = self.kernel.inside(set().union(*other))
         n = len(self.landmarks)
+        vocabulary = sorted(set().union(*folded))
+        where = {w: i for i, w in enumerate(vocabulary)}
+        # in how many texts of each class each word is, then what each value is worth
+        df = np.zeros((2, len(vocabulary)))
+        for d, t in zip(folded, y):
+            df[int(t), [where[w] for w in d]] += 1
+        plain = Kernel(self.landmarks)
+        na, nb = len(toxic), len(other)
+
+        def floors(rows: np.ndarray, v: np.ndarray) -> list[float]:
+            out = []
+            for x in range(n):
+                best = 2.0
+                for low, high in zip(FLOORS[::-1], (2.0, *FLOORS[:0:-1])):
+                    at = rows[(v[:, x] >= low) & (v[:, x] < high)]
+                    a, b = df[1, at].sum(), df[0, at].sum()
+                    if b > 0.002 * nb and a * nb < MIN_RATIO * b * na:
+                        break
+                    best = low
+                out.append(best)
+            return out
+
+        rows, v = plain.values(vocabulary, inner=False)
+        starts = floors(rows, v)
+        rows, v = plain.values(vocabulary, start=False)
+        within = floors(rows, v)
+        # inside of words a landmark counts where what training texts show there doesn't speak against it
+        inside = [f <= FLOORS[1] for f in within]
+        harmless = {vocabulary[r] for r, x in zip(rows, v) if x[inside].any() and df[0, r] and not df[1, r]}
+        self.kernel = Kernel(self.landmarks, [min(f, 0.999) for f in starts], inside, harmless)
         own = normalised_kernel([x for x in self.landmarks for _ in range(n)], self.landmarks * n).reshape(n, n).astype(np.float64)
         vals, vecs = np.linalg.eigh(own + 1e-3 * np.eye(n))
         self.map = (vecs / np.sqrt(np.maximum(vals, 1e-3))) @ vecs.T
-        # sentences of other texts are all examples; of a toxic text, those that are near its nearest,
-        # and none if nothing in it is near a landmark
-        rows, s = [np.zeros(n)], [-1.0]
-        for v, toxic in zip(self.sentences(texts), y):
-            if toxic and len(v):
-                top = v[:, : n - self.neutral].max(1)
-                v = v[top >= max(NEAR, 0.7 * top.max())]
-            rows += list(v)
-            s += [1.0 if toxic else -1.0] * len(v)
-        # misspelt landmarks with one character put in are examples too
-        bent = [f[:i] + c + f[i:] for x in self.landmarks[: n - self.neutral] if len(f := x.strip("{|")) >= 5 for i in range(1, len(f)) for c in "xz"]
-        # so are landmarks inside of longer words
-        bent += [a + x.strip("{|") + b for x in self.landmarks[: n - self.neutral] if len(x.strip("{|")) >= 5 for a in ("xxx", "zzz") for b in ("", "zzz")]
-        got, v = self.kernel.values(bent)
-        rows += list(v)
-        s += [1.0] * len(got)
-        s = np.array(s)
-        x = np.array(rows, np.float64) @ self.map
-        cost = np.where(s > 0, 0.3 / max(1, (s > 0).sum()), 0.7 / (s < 0).sum()) * len(s)
-        cost[len(s) - len(got) :] *= 0.1
+        self.hot, self.seen = {}, set()
+        rows = list(self.features(docs))
+        s = np.where(y > 0, 1.0, -1.0)
+        # a toxic text without any landmark teaches nothing
+        some = [i for i, r in enumerate(rows) if r.any() or s[i] < 0]
+        x, s = [rows[i] for i in some], s[some]
+        # landmarks of which texts that are not toxic have none: one alone, misspelt too, makes a text toxic
+        at, got = plain.values(vocabulary, inner=False)
+        clean = np.array([df[0, at[got[:, k] >= starts[k]]].sum() for k in range(n)])
+        sharp = [k for k in range(n) if clean[k] <= 0.001 * nb]
+        cores = [self.landmarks[k].strip(OPEN + CLOSE) for k in sharp]
+        bent = [f for f in cores] + [f[:i] + c + f[i:] for f in cores if len(f) >= 5 for i in range(1, len(f)) for c in ("x", "z")]
+        if any(inside[k] for k in sharp):
+            bent += [u + f + w for k, f in zip(sharp, cores) if inside[k] and len(f) >= 5 for u in ("xxx", "zzz") for w in ("", "zzz")]
+        taught = [r for size in (8, 200, 2000) for r in self.features([Counter({f: 1, "": size}) for f in bent]) if r.any()]
+        x = np.array(x + taught + [np.zeros(len(x[0]))])
+        s = np.concatenate((s, np.ones(len(taught)), [-1.0]))
+        cost = np.where(s > 0, 0.3 / max(1, (s > 0).sum() - len(taught)), 0.7 / (s < 0).sum()) * len(s)
+        if taught:
+            cost[-1 - len(taught) : -1] = 0.1 * len(s) / len(taught)
         x1 = np.hstack([x, np.ones((len(x), 1))])
         w = np.zeros(x1.shape[1])
         ridge = RIDGE * np.eye(len(w))
         ridge[-1, -1] = 1e-6
-        for _ in range(30):
+        for _ in range(50):
             bad = s * (x1 @ w) < 1
             h = (x1[bad] * cost[bad, None]).T
             new = np.linalg.solve(ridge + h @ x1[bad], h @ s[bad])
@@ -302,11 +398,11 @@ class Model:
                 break
             w = new
         self.w = w
-        self.a, self.b = self._curve(x1 @ w, s > 0) if (s > 0).any() else (1.0, 0.0)
+        self.a = self._curve(x1 @ w, s > 0)
         return self
 
     @staticmethod
-    def _curve(m: np.ndarray, y: np.ndarray) -> tuple[float, float]:
+    def _curve(m: np.ndarray, y: np.ndarray) -> float:
         """Platt's logistic fit, with the classes in balance and the middle held at margin 0."""
         t = np.where(y > 0, 1.0, 0.0)
         wt = np.where(y > 0, 0.5 / y.mean(), 0.5 / (1 - y.mean()))
@@ -316,59 +412,116 @@ class Model:
             g = (wt * (t - p) * m).sum() - 0.02 * a
             h = (wt * p * (1 - p) * m * m).sum() + 0.02
             a = float(np.clip(a + np.clip(g / h, -1, 1), 0.5, 6))
-        return a, 0.0
-
-    def sentences(self, texts: list[str | None]) -> list[np.ndarray]:
-        """For each text, the largest kernel values by landmark of its sentences that have any."""
-        raw = [parts(words(t or "")) for t in texts]
-        folded = {w: fold(w) for w in set().union(*raw)}
-        vocabulary = list(set(folded.values()))
+        return a
+
+    def learn(self, new: list[str]) -> None:
+        """Remembers the values of raw words."""
+        if len(self.seen) + len(new) > MEMORY:
+            self.seen, self.hot = set(), {}
+        of = {w: forms(w) for w in new}
+        vocabulary = sorted(set().union(*of.values())) if of else []
         rows, v = self.kernel.values(vocabulary)
-        at = {vocabulary[r]: i for i, r in enumerate(rows)}
-        hot = {w: at[f] for w, f in folded.items() if f in at}
-        keys, none = set(hot), np.zeros((0, len(self.landmarks)), np.float32)
-        out = []
-        for t, ws in zip(texts, raw):
-            if not (keys & ws):
-                out.append(none)
-                continue
-            out.append(np.array([v[[hot[w] for w in hit]].max(0) for part in _SENTENCE.split(t) if (hit := keys & parts(words(part)))] or [v[[hot[w] for w in keys & ws]].max(0)]))
-        return out
+        value = {vocabulary[r]: x for r, x in zip(rows, v)}
+        for w, fs in of.items():
+            got = [value[f] for f in fs if f in value]
+            if got:
+                self.hot[w] = np.max(got, axis=0)
+        self.seen.update(new)
+
+    def features(self, docs: list[Counter]) -> np.ndarray:
+        """For each document, the mapped largest values, their share of words and their number."""
+        distinct = set().union(*docs) if docs else set()
+        self.learn(list(distinct - self.seen) if len(distinct | self.seen) <= MEMORY else list(distinct))
+        n = len(self.landmarks)
+        top, total = np.zeros((len(docs), n)), np.zeros((len(docs), n))
+        size = np.ones(len(docs))
+        for i, d in enumerate(docs):
+            hit = d.keys() & self.hot.keys()
+            if hit:
+                size[i] = d.total()
+                for w in hit:
+                    v = self.hot[w]
+                    np.maximum(top[i], v, out=top[i])
+                    total[i] += d[w] * v
+        share = total / size[:, None]
+        every = total.sum(1)
+        rate = every / size
+        return np.hstack([top @ self.map, (share / (share + HALF)) @ self.map, (total / (total + 2)) @ self.map, (rate / (rate + HALF))[:, None], (every / (every + 2))[:, None]])
 
     def scores(self, texts: list[str | None]) -> np.ndarray:
-        """The largest sentence's, over whole texts."""
+        """Probabilities, over whole texts."""
         if not self.landmarks:
             return np.full(len(texts), self.share)
-        found = self.sentences(texts)
-        flat = np.concatenate([np.zeros((1, len(self.landmarks))), *found]) @ self.map
-        margin = flat @ self.w[:-1] + self.w[-1]
-        ends = np.cumsum([1] + [len(v) for v in found])
-        m = np.array([max(margin[0], margin[a:b].max(initial=-np.inf)) for a, b in zip(ends, ends[1:])])
-        return 1 / (1 + np.exp(-np.clip(self.a * m + self.b, -30, 30)))
+        x = self.features([tokens(t) for t in texts])
+        return 1 / (1 + np.exp(-np.clip(self.a * (x @ self.w[:-1] + self.w[-1]), -30, 30)))
+
+    def dumps(self) -> bytes:
+        """The model as plain values, without the words it remembers."""
+        state = {"share": self.share, "landmarks": self.landmarks}
+        if self.landmarks:
+            k = self.kernel
+            state |= {"kernel": (k.floors.tolist(), k.inside, sorted(k.harmless)), "map": self.map, "w": self.w, "a": self.a}
+        return pickle.dumps(state)
+
+    @classmethod
+    def loads(cls, blob: bytes) -> Model:
+        state = pickle.loads(blob)
+        model = cls(state["share"])
+        model.landmarks = state["landmarks"]
+        if model.landmarks:
+            floors, inside, harmless = state["kernel"]
+            model.kernel = Kernel(model.landmarks, floors, inside, set(harmless))
+            model.map, model.w, model.a = state["map"], state["w"], state["a"]
+            model.hot, model.seen = {}, set()
+        return model
 
 
 def held_out(c="doc_id"):
     return F.coalesce(F.crc32(F.col(c).cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
+def _told(batches):
+    for b in batches:
+        rows = [tokens(t) for t in b.column(1).to_pylist()]
+        yield pa.RecordBatch.from_arrays(
+            [b.column(0), pa.array([list(r) for r in rows], pa.list_(pa.string())), pa.array([list(r.values()) for r in rows], pa.list_(pa.int64())), b.column(2)], names=["doc_id", "w", "n", "y"]
+        )
+
+
+def _fitted(batches):
+    rows = sorted((d, y, list(zip(w, n))) for b in batches for d, w, n, y in zip(*(c.to_pylist() for c in b.columns)))
+    model = Model().fit_tokens([Counter(dict(r)) for *_, r in rows], [y for _, y, _ in rows])
+    yield pa.RecordBatch.from_arrays([pa.array([model.dumps()], pa.binary())], names=["model"])
+
+
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """A model of at most ``sample`` labelled rows of each class outside the held-out fold."""
     y = labels.where("toxic is not null and doc_id is not null").where(~held_out()).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("y"))
     order = F.xxhash64("doc_id")
     picked = [y.where(F.col("y") == k).orderBy(order, "doc_id").limit(sample) for k in (1, 0)]
     rows = picked[0].union(picked[1])  # bounded by 2 * sample ids
-    found = docs.select("doc_id", text_or_empty("text").alias("text")).join(F.broadcast(rows), "doc_id").select("doc_id", "text", "y").collect()
-    found = sorted({(r[0], r[2]): r[1] for r in found}.items())
-    share = rows.agg(F.avg("y")).first()[0] or 0.0
-    return Model(share).fit([t for _, t in found], [k[1] for k, _ in found]) if found else Model(share)
+    found = docs.select("doc_id", text_or_empty("text").alias("text")).join(F.broadcast(rows), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.min("y").alias("y"))
+    told = found.select("doc_id", "text", "y").mapInArrow(_told, "doc_id long, w array<string>, n array<long>, y int")
+    blob = told.repartition(1).mapInArrow(_fitted, "model binary").first()
+    return Model.loads(blob[0]) if blob else Model()
+
+
+_MODELS: dict[int, Model] = {}
 
 
 def _scorer(model: Model, at_text: int, names: list[str]):
+    blob = model.dumps()
+    key = zlib.crc32(blob)
+
     def run(batches):
+        if key not in _MODELS:  # a worker keeps the words it has seen
+            _MODELS.clear()
+            _MODELS[key] = Model.loads(blob)
+        known = _MODELS[key]
         for b in batches:
-            for at in range(0, max(1, b.num_rows), 2000):
-                part = b.slice(at, 2000)
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(model.scores(part.column(at_text).to_pylist()), pa.float64())], names=names)
+            for at in range(0, max(1, b.num_rows), 1000):
+                part = b.slice(at, 1000)
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(known.scores(part.column(at_text).to_pylist()), pa.float64())], names=names)
 
     return run
 

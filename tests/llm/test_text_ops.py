@@ -229,6 +229,97 @@ def test_kernel_is_symmetric_and_forgives_gaps():
     assert k("stupid", "stuxpid") > 0.4 > k("stupid", "stone")
 
 
+def brute_kernel(a, b, decay=toxicity.DECAY):
+    """All common subsequences of 1 to 3 characters, by their places."""
+    from itertools import combinations
+
+    total = 0.0
+    for n, weight in ((1, 0.25), (2, 1.0), (3, 4.0)):
+        places = {}
+        for at in combinations(range(len(b)), n):
+            places.setdefault("".join(b[i] for i in at), []).append(at[-1] - at[0] + 1)
+        for at in combinations(range(len(a)), n):
+            total += weight * sum(decay ** (at[-1] - at[0] + 1 + span) for span in places.get("".join(a[i] for i in at), []))
+    return total
+
+
+def brute_value(word, landmark, floor):
+    """The best window of a word, at its start or from its second letter on."""
+    w, best = "{" + word + "|", 0.0
+    for p in (0, *range(2, len(w) - 1)):
+        for size in range(max(1, len(landmark) - 2), len(landmark) + toxicity.SLACK + 1):
+            x = w[p : p + size]
+            best = max(best, (brute_kernel(x, landmark) / (brute_kernel(x, x) * brute_kernel(landmark, landmark)) ** 0.5) ** toxicity.SHARP)
+    return best if best >= floor else 0.0
+
+
+def test_kernel_is_that_of_all_subsequences():
+    pairs = [("stupid", "stuxpid"), ("{réeux", "{réeuxment|"), ("aaaa", "aa"), ("дурак", "дураки"), ("ab", "cd"), ("x", "x")]
+    for a, b in pairs:
+        got = float(toxicity.normalised_kernel([a], [b])[0])
+        assert abs(got - (brute_kernel(a, b) / (brute_kernel(a, a) * brute_kernel(b, b)) ** 0.5) ** toxicity.SHARP) < 1e-4, (a, b)
+
+
+def test_values_are_those_of_the_best_window():
+    """No word is lost by looking only at windows with all but one of a landmark's letters."""
+    import random
+
+    rng = random.Random(11)
+    landmarks = ["{stupid|", "{réeux", "{дурак", "{idiot|"]
+    cores = [x.strip("{|") for x in landmarks]
+    words = {"x", "stupid", "idiot", "achlich", "réeuxment"}
+    for _ in range(120):
+        w = list(rng.choice(cores))
+        for _ in range(rng.randrange(4)):
+            i = rng.randrange(len(w) + 1)
+            w[i : i + rng.randrange(2)] = rng.choice("xzéиstupd")
+        words.add("".join(rng.choice("abst") for _ in range(rng.randrange(4))) + "".join(w))
+    words = sorted(words)
+    floor = 0.55
+    rows, v = toxicity.Kernel(landmarks, [floor] * 4).values(words)
+    got = {words[r]: x for r, x in zip(rows, v)}
+    for w in words:
+        for k, x in enumerate(landmarks):
+            want = brute_value(w, x, floor)
+            assert abs(want - (got[w][k] if w in got else 0.0)) < 1e-3 or abs(want - floor) < 1e-3, (w, x)
+
+
+def test_toxicity_by_language():
+    """Held-out accuracy on the given labels, overall and in each language; junk texts without an insult stay unfound."""
+    import pyarrow.parquet as pq
+
+    sf = "/root/testdata/sf0.1"
+    label = {d: t for d, t in zip(*(pq.read_table(f"{sf}/labels.parquet")[c].to_pylist() for c in ("doc_id", "toxic"))) if t is not None}
+    rows = [(d, t, x) for d, t, x in zip(*(pq.read_table(f"{sf}/documents.parquet")[c].to_pylist() for c in ("doc_id", "text", "lang"))) if d in label]
+    learn = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 5]
+    model = toxicity.Model().fit([r[1] for r in learn], [label[r[0]] for r in learn])
+    held = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 5 == 0]
+    scores = model.scores([r[1] for r in held])
+    for lang in (None, "en", "de", "fr", "es"):
+        bad = [s for r, s in zip(held, scores) if label[r[0]] and lang in (None, r[2])]
+        good = [s for r, s in zip(held, scores) if not label[r[0]] and lang in (None, r[2])]
+        auc = sum((b > g) + 0.5 * (b == g) for b in bad for g in good) / (len(bad) * len(good))
+        assert auc >= 0.95, (lang, auc)
+        assert sum(b >= 0.5 for b in bad) >= 0.85 * len(bad) and sum(g >= 0.5 for g in good) <= 0.02 * len(good), lang
+
+
+def test_toxicity_in_unspaced_and_other_scripts():
+    rows = [("今天天气很好我们去公园" + ("你这个" + "白痴" + "快走啊吧的了"[i // 2 % 6] if i % 2 else "大家都很高兴") + "明天见" + chr(0x4E00 + i), i % 2) for i in range(60)]
+    rows += [("сегодня хорошая погода и мы идём гулять " + ("какой же ты дурак " + "опять снова тут там"[i // 2 % 9 :] if i % 2 else "все очень рады опять") + f" раз{i}", i % 2) for i in range(60)]
+    model = toxicity.Model().fit([t for t, _ in rows], [y for _, y in rows])
+    assert [bool(s >= 0.5) for s in model.scores(["他是白痴吗", "他很高兴", "вот дурак", "вот погода"])] == [True, False, True, False]
+
+
+def test_toxicity_degenerate_tables(spark):
+    """Empty documents and a doc_id with several texts."""
+    rows, y = toxic_rows()
+    labels = spark.createDataFrame(y, "doc_id long, quality int, toxic int")
+    docs = frame(spark, rows)
+    assert toxicity.score(docs.limit(0), labels).count() == 0
+    twice = docs.unionAll(frame(spark, [(100, "other text")] * 3))
+    assert toxicity.score(twice, labels).where("doc_id = 100").count() == 4
+
+
 def test_quality_recovers_planted_accuracies():
     import itertools
 
