@@ -82,11 +82,11 @@ def shingle_set(t):
     return frozenset(tuple(w[i : i + 5]) for i in range(len(w) - 4)) if len(w) >= 5 else frozenset([tuple(w)] if w else [])
 
 
-def brute_near(rows):
+def brute_near(rows, percent=85):
     sets = [shingle_set(t) for _, t in rows]
     comp = list(range(len(rows)))
     for i, j in combinations(range(len(rows)), 2):
-        if sets[i] and 100 * len(sets[i] & sets[j]) >= 85 * len(sets[i] | sets[j]) and comp[i] != comp[j]:
+        if sets[i] and 100 * len(sets[i] & sets[j]) >= percent * len(sets[i] | sets[j]) and comp[i] != comp[j]:
             a, b = comp[i], comp[j]
             comp = [a if x == b else x for x in comp]
     low = {}
