@@ -1,20 +1,24 @@
 """Line dedup by a deletion-neighbourhood join (DataFrame functions only).
 
-Lines are sequences of words (split at [\\x20\\x09-\\x0D]); the edit bound is one word inserted,
-deleted or replaced.  Every line that may have a neighbour emits the hashes of all its variants
-with one word left out, and of itself; lines that meet in a variant at the same place, or a
-variant that meets a whole line, are within the bound.  Groups are aggregated to their earliest
-line, so no pairs are made inside a group; each line's earliest partner is then verified by the
-words the two share at both ends.  A line goes if it equals, or is within the bound of, an
-earlier one; (doc_id, line number) is the order.
-
-A lossless filter comes first: with one edit, two lines share all words of the first or of the
+Lines are compared with runs of [\\x20\\x09-\\x0D] as one blank and none at the ends.  The edit bound
+is one unit inserted, deleted or replaced: a word in lines of MIN_WORDS words or more, a character in
+lines of fewer words that have MIN_CHARS characters or more (long words, addresses, scripts without
+blanks); in shorter lines one unit is too large a share, and their bound is zero.  Lines of the two
+kinds are not compared with each other.
+
+Every line that may have a neighbour emits the hashes of all its variants with one unit left out,
+and of itself; lines that meet in a variant at the same place, or a variant that meets a whole line,
+are within the bound.  Groups are aggregated to their earliest line, so no pairs are made inside a
+group; each line's earliest partner is then verified by edit distance.  A line goes if it equals, or
+is within the bound of, an earlier one; (doc_id, line number) is the order.
+
+A lossless filter comes first: with one edit, two lines share all units of the first or of the
 last half, so lines whose halves no other line has emit no variants.
 
-Defined cases: null text counts as empty; blank lines always stay; lines under MIN_WORDS words
-match only when equal; lines of rows without doc_id come last and are compared to all others;
-fully repeated rows share one verdict; an empty text has one blank line; extra columns are
-ignored.  Lines are identified by 64-bit and 32-bit hashes of their words.
+Defined cases: null text counts as empty; blank lines always stay; lines of rows without doc_id come
+last, and two of them with one line number are not compared unless equal; fully repeated rows share
+one verdict; an empty text has one blank line; a very long line has as many variants as units; an
+empty table gives an empty result; extra columns are ignored.  Lines are identified by 128 hash bits.
 """
 
 from __future__ import annotations
@@ -24,37 +28,54 @@ from pyspark.sql import functions as F
 
 from .common import free_name, materialise, small_side, text_or_empty
 
-MIN_WORDS = 8
-_LAST = "cast('99999999999999999999999999999' as decimal(38,0))"
+MIN_WORDS, MIN_CHARS = 8, 24
+#: So many lines (four numbers each) whose text is to be fetched may be broadcast.
+FETCH_ROWS = 250_000
+_NO_ID = "cast('9223372036854775808' as decimal(20,0))"
 
 
-def words(line: Column) -> Column:
-    return F.array_remove(F.split(F.translate(line, "\t\n\x0b\f\r", "     "), " "), "")
+def position() -> Column:
+    """The order of lines as one number."""
+    doc = F.coalesce(F.col("doc_id").cast("decimal(20,0)"), F.expr(_NO_ID))
+    return (doc * F.lit(2147483648).cast("decimal(10,0)") + F.col("line_no")).cast("decimal(38,0)")
 
 
-def position() -> Column:
-    return F.coalesce(F.col("doc_id").cast("decimal(19,0)") * F.lit(2147483648).cast("decimal(10,0)") + F.col("line_no"), F.expr(_LAST)).cast("decimal(38,0)")
+def normalised(text: Column) -> Column:
+    """Single blanks between words; each step only where a text needs it."""
+    odd = text.contains("\t") | text.contains("\x0b") | text.contains("\f") | text.contains("\r")
+    t = F.when(odd, F.translate(text, "\t\x0b\f\r", "    ")).otherwise(text)
+    return F.when(t.contains("  "), F.regexp_replace(t, " {2,}", " ")).otherwise(t)
+
 
+def split_lines(docs: DataFrame) -> DataFrame:
+    """doc_id, line_no, l of lines that are not blank."""
+    x = docs.select("doc_id", normalised(text_or_empty("text")).alias("t"))
+    return x.select("doc_id", F.posexplode(F.split("t", "\n")).alias("line_no", "l")).select("doc_id", "line_no", F.trim("l").alias("l")).where("l <> ''")
 
-def raw_lines(docs: DataFrame) -> DataFrame:
-    return docs.select("doc_id", F.posexplode(F.split(text_or_empty("text"), "\n")).alias("line_no", "line"))
 
+def kind() -> Column:
+    """0 for lines compared by words, 1 by characters, null for lines compared as wholes."""
+    return F.expr(f"case when words >= {MIN_WORDS} then 0 when chars >= {MIN_CHARS} then 1 end")
 
-def lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """doc_id, line_no, h, h2, k0..k3 (keys of halves, null for short lines); blank lines left out.  No text."""
-    x = raw_lines(docs).select("doc_id", "line_no", words(F.col("line")).alias("w")).where(F.size("w") > 0)
-    keys = F.when(F.size("w") >= min_words, _half_keys(F.col("w")))
-    return x.select("doc_id", "line_no", F.xxhash64("w").alias("h"), F.hash("w").alias("h2"), keys.alias("k")).select("doc_id", "line_no", "h", "h2", *(F.get("k", F.lit(i)).alias(f"k{i}") for i in range(4)))
 
+def measured(lines: DataFrame) -> DataFrame:
+    """With columns chars, words, kind, units."""
+    x = lines.withColumn("chars", F.length("l")).withColumn("words", F.col("chars") - F.length(F.replace("l", F.lit(" "), F.lit(""))) + 1)
+    return x.withColumn("kind", kind()).withColumn("units", F.when(F.col("kind") == 0, F.col("words")).otherwise(F.col("chars")))
 
-def _half_keys(w: Column) -> Column:
+
+def _half_keys() -> Column:
     """Hashes of the halves that a line shares with any line within one edit of it."""
-    n = F.size(w)
-    key = lambda k, part, size: F.xxhash64(F.lit(k), size, part)
     out = []
-    for size in (F.floor(n / 2).cast("int"), F.floor((n - 1) / 2).cast("int")):
-        out += [key(0, F.slice(w, F.lit(1), size), size), key(1, F.slice(w, n - size + 1, size), size)]
-    return F.array_distinct(F.array(*out))
+    for size in ("cast(units div 2 as int)", "cast((units - 1) div 2 as int)"):
+        out += [f"xxhash64(0, kind, if(kind = 0, substring_index(l, ' ', {size}), left(l, {size})))", f"xxhash64(1, kind, if(kind = 0, substring_index(l, ' ', -{size}), right(l, {size})))"]
+    return F.expr(f"if(kind is not null, array_distinct(array({', '.join(out)})), null)")
+
+
+def occurrences(docs: DataFrame) -> DataFrame:
+    """doc_id, line_no, h, h2, k0..k3 (keys of halves, null without any); blank lines left out.  No text."""
+    x = measured(split_lines(docs)).select("doc_id", "line_no", F.xxhash64("l").alias("h"), F.xxhash64(F.lit(1), "l").alias("h2"), _half_keys().alias("k"))
+    return x.select("doc_id", "line_no", "h", "h2", *(F.get("k", F.lit(i)).alias(f"k{i}") for i in range(4)))
 
 
 def within_one(a: Column, b: Column) -> Column:
@@ -65,46 +86,68 @@ def within_one(a: Column, b: Column) -> Column:
     return ends(a, b) + ends(F.reverse(a), F.reverse(b)) >= F.greatest(na, nb) - 1
 
 
-def decisions(docs: DataFrame, min_words: int = MIN_WORDS) -> tuple[DataFrame, DataFrame]:
+def fetched(docs: DataFrame, alive: DataFrame) -> DataFrame:
+    """h, h2, pos, l of each line in alive (doc_id, line_no, h, h2), from the text of its first place."""
+    per = alive.groupBy(F.col("doc_id").alias("a_id")).agg(F.collect_list(F.struct("line_no", "h", "h2")).alias("want"))
+    x = docs.select("doc_id", text_or_empty("text").alias("text"))
+    x = x.join(small_side(per, "wanted", FETCH_ROWS), F.col("doc_id").eqNullSafe(F.col("a_id")))
+    x = x.select("doc_id", F.split(normalised(F.col("text")), "\n").alias("t"), "want")
+    picked = F.transform("want", lambda w: F.struct(w["line_no"].alias("line_no"), w["h"].alias("h"), w["h2"].alias("h2"), F.trim(F.get("t", w["line_no"])).alias("l")))
+    x = x.select("doc_id", F.explode(picked).alias("w")).select("doc_id", "w.line_no", "w.h", "w.h2", "w.l")
+    x = x.where((F.xxhash64("l") == F.col("h")) & (F.xxhash64(F.lit(1), "l") == F.col("h2")))
+    return x.select("h", "h2", position().alias("pos"), "l").dropDuplicates(["h", "h2"])
+
+
+def variants(told: DataFrame) -> DataFrame:
+    """h, pos, i, v: hashes of each line (i = 0) and of it without unit i."""
+    x = measured(told)
+    without = """if(kind = 0,
+        concat_ws(' ', nullif(substring_index(l, ' ', i - 1), ''), nullif(substring_index(l, ' ', i - units), '')),
+        concat(left(l, i - 1), substring(l, i + 1)))"""
+    each = f"transform(sequence(0, units), i -> struct(i, xxhash64(kind, if(i = 0, l, {without})) as v))"
+    return x.select("h", "pos", F.explode(F.expr(each)).alias("x")).select("h", "pos", "x.i", "x.v")
+
+
+def decisions(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Occurrences (doc_id, line_no, h, h2, pos), and distinct lines that have copies or go: h, h2, first, goes."""
-    occ = materialise(lines(docs, min_words), "occurrences").withColumn("pos", position())
-    distinct = materialise(occ.groupBy("h", "h2").agg(F.min("pos").alias("first"), F.count("*").alias("n"), *(F.min(f"k{i}").alias(f"k{i}") for i in range(4))), "lines")
+    occ = materialise(occurrences(docs), "occurrences").withColumn("pos", position())
+    first = F.min("pos").alias("first")
+    distinct = materialise(occ.groupBy("h", "h2").agg(first, F.count("*").alias("n"), *(F.min(f"k{i}").alias(f"k{i}") for i in range(4))), "lines")
     by_key = distinct.select("h", "h2", F.explode(F.array("k0", "k1", "k2", "k3")).alias("k")).where("k is not null")
     shared = by_key.groupBy("k").agg(F.count("*").alias("c")).where("c > 1").select("k")
     alive = by_key.join(shared, "k").select("h", "h2").distinct().join(distinct.select("h", "h2", "first"), ["h", "h2"])
-    alive = small_side(alive, "alive")
-    # the words of one occurrence of each such line, found by its first position; lines move as text
-    told = raw_lines(docs).select("line", position().alias("pos")).join(alive, F.col("pos") == F.col("first"))
-    told = told.select("h", "h2", "pos", words(F.col("line")).alias("w")).where((F.xxhash64("w") == F.col("h")) & (F.hash("w") == F.col("h2")))
-    told = materialise(told.dropDuplicates(["h", "h2"]), "told")
-    each = F.sequence(F.lit(0), F.size("w"))
-    variants = told.select("h", "h2", "pos", F.transform("w", lambda x: F.xxhash64(x)).alias("w")).select(
-        "h", "h2", "pos",
-        F.explode(F.transform(each, lambda i: F.struct(i.alias("i"), F.when(i == 0, F.xxhash64("w")).otherwise(F.xxhash64(F.concat(F.slice("w", F.lit(1), F.greatest(i - 1, F.lit(0))), F.slice("w", i + 1, F.size("w"))))).alias("v")))).alias("x"),
-    ).select("h", "h2", "pos", F.col("x.i").alias("i"), F.col("x.v").alias("v"))
-    variants = materialise(variants, "variants")
+    base = F.lit(2147483648).cast("decimal(10,0)")
+    doc = F.floor(F.col("first") / base).cast("decimal(20,0)")
+    alive = alive.select(F.when(doc < F.expr(_NO_ID), doc.cast("long")).alias("doc_id"), F.pmod("first", base).cast("int").alias("line_no"), "h", "h2")
+    told = materialise(fetched(docs, alive), "told")
+    every = materialise(variants(told), "variants")
+    met = every.groupBy("v").agg(F.count("*").alias("c")).where("c > 1").select("v")
+    every = materialise(every.join(met, "v"), "met")
     # earliest line of each variant and place, and of each variant's whole lines and cut lines
-    at = variants.groupBy("v", "i").agg(F.min("pos").alias("low"), F.count("*").alias("c"))
+    at = every.groupBy("v", "i").agg(F.min("pos").alias("low"), F.count("*").alias("c"))
     whole = F.min(F.when(F.col("i") == 0, F.col("low"))).alias("whole")
     cut = F.min(F.when(F.col("i") > 0, F.col("low"))).alias("cut")
-    per_v = at.groupBy("v").agg(whole, cut, F.sum("c").alias("c")).where("c > 1").select("v", "whole", "cut")
-    places = at.where("i > 0 and c > 1").select("v", "i", "low").join(per_v.select("v"), "v")
-    same = variants.join(places, ["v", "i"]).where("low < pos").select("h", "h2", "pos", F.col("low").alias("to"))
-    other = variants.join(per_v, "v").select("h", "h2", "pos", F.when(F.col("i") == 0, F.col("cut")).otherwise(F.col("whole")).alias("to")).where("to < pos")
+    per_v = at.groupBy("v").agg(whole, cut).where("whole is not null and cut is not null")
+    same = every.join(at.where("i > 0 and c > 1").drop("c"), ["v", "i"]).where("low < pos").select("h", "pos", F.col("low").alias("to"))
+    other = every.join(per_v, "v").select("h", "pos", F.when(F.col("i") == 0, F.col("cut")).otherwise(F.col("whole")).alias("to")).where("to < pos")
     pairs = same.union(other).distinct()
-    a = told.select(F.col("pos").alias("a_pos"), F.col("w").alias("a"))
-    b = told.select("h", "h2", F.col("w").alias("b"))
-    near = pairs.join(a, F.col("to") == F.col("a_pos")).join(b, ["h", "h2"]).where(within_one(F.col("a"), F.col("b"))).select("h", "h2").distinct().withColumn("goes", F.lit(True))
+    side = measured(told)
+    a = side.select(F.col("pos").alias("to"), F.col("l").alias("a"), F.col("kind").alias("a_kind"))
+    b = side.select("h", "pos", "h2", F.col("l").alias("b"), "kind")
+    both = pairs.join(a, "to").join(b, ["h", "pos"]).where("kind = a_kind")
+    near = both.where(F.when(F.col("kind") == 0, within_one(F.split("a", " "), F.split("b", " "))).otherwise(F.levenshtein("a", "b", 1) >= 0))
+    near = near.select("h", "h2").distinct().withColumn("goes", F.lit(True))
     marked = distinct.select("h", "h2", "n", "first").join(near, ["h", "h2"], "left").where("n > 1 or goes").select("h", "h2", "first", F.coalesce("goes", F.lit(False)).alias("goes"))
     return occ.select("doc_id", "line_no", "h", "h2", "pos"), materialise(marked, "marked")
 
 
-def verdicts(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+def verdicts(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, n_lines (blank ones too), n_dropped, dropped (line numbers from 0)."""
-    occ, marked = decisions(docs, min_words)
+    occ, marked = decisions(docs)
     gone = occ.join(marked, ["h", "h2"]).where("goes or pos > first").select("doc_id", "line_no").distinct()
     per = gone.groupBy("doc_id").agg(F.array_sort(F.collect_list("line_no")).alias("dropped"))
-    d = docs.select("doc_id", F.size(F.split(text_or_empty("text"), "\n")).cast("long").alias("n_lines"))
+    text = text_or_empty("text")
+    d = docs.select("doc_id", (F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))) + 1).cast("long").alias("n_lines"))
     per = per.withColumnRenamed("doc_id", "g_id")
     out = d.join(per, d["doc_id"].eqNullSafe(per["g_id"]), "left")
     dropped = F.coalesce("dropped", F.array().cast("array<int>"))

@@ -59,22 +59,20 @@ ORACLE_SQL = {
         SELECT d.doc_id, k.keep_id, g.group_size, d.doc_id = k.keep_id AS kept, sha256(d.n) AS text_sha256
         FROM d JOIN g ON d.n = g.n JOIN k ON d.n = k.n""",
     "op2_line_dedup": r"""
-        WITH l AS (SELECT doc_id, generate_subscripts(ls, 1) - 1 AS line_no, unnest(ls) AS line, len(ls) AS n_lines FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents)),
-        w AS (SELECT doc_id, line_no, list_filter(regexp_split_to_array(line, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w, doc_id * 2147483648::HUGEINT + line_no AS pos FROM l),
-        o AS (SELECT * FROM w WHERE len(w) > 0),
-        u AS (SELECT w, min(pos) AS pos, len(w) AS n FROM o GROUP BY w),
-        k AS (SELECT DISTINCT pos, w, n, s, side, CASE WHEN side = 0 THEN list_slice(w, 1, s) ELSE list_slice(w, n - s + 1, n) END AS half
-              FROM (SELECT *, unnest([n // 2, (n - 1) // 2]) AS s FROM u WHERE n >= 8) CROSS JOIN (SELECT unnest([0, 1]) AS side)),
-        p AS (SELECT DISTINCT b.pos, a.w AS a, b.w AS b, least(a.n, b.n) AS m, greatest(a.n, b.n) AS g
-              FROM k a JOIN k b ON a.side = b.side AND a.s = b.s AND a.half = b.half WHERE a.pos < b.pos AND abs(a.n - b.n) <= 1),
-        near AS (SELECT DISTINCT pos FROM (SELECT pos, m, g,
-                   coalesce(list_position(list_transform(range(1, m + 1), lambda i: a[i] = b[i]), false), m + 1) - 1 AS front,
-                   coalesce(list_position(list_transform(range(1, m + 1), lambda i: a[len(a) + 1 - i] = b[len(b) + 1 - i]), false), m + 1) - 1 AS back FROM p)
-                 WHERE front + back >= g - 1),
-        gone AS (SELECT o.doc_id, o.line_no FROM o JOIN u ON o.w = u.w LEFT JOIN near ON u.pos = near.pos WHERE o.pos > u.pos OR near.pos IS NOT NULL),
+        WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+        x AS (SELECT doc_id, generate_subscripts(ls, 1) - 1 AS line_no, unnest(ls) AS line FROM d),
+        o AS (SELECT doc_id, line_no, trim(regexp_replace(line, '[\x20\x09-\x0D]+', ' ', 'g')) AS l, doc_id * 2147483648::HUGEINT + line_no AS pos FROM x),
+        u AS (SELECT l, min(pos) AS pos, string_split(l, ' ') AS w, CASE WHEN len(string_split(l, ' ')) >= 8 THEN 0 WHEN length(l) >= 24 THEN 1 END AS kind FROM o WHERE l <> '' GROUP BY l),
+        v AS (SELECT pos, kind, i, array_to_string(list_concat(w[1:i - 1], w[i + 1:]), ' ') AS v FROM (SELECT pos, kind, w, unnest(range(1, len(w) + 1)) AS i FROM u WHERE kind = 0)
+              UNION ALL SELECT pos, kind, i, substr(l, 1, i - 1) || substr(l, i + 1) FROM (SELECT pos, kind, l, unnest(range(1, length(l) + 1)) AS i FROM u WHERE kind = 1)),
+        low AS (SELECT kind, i, v, min(pos) AS pos FROM v GROUP BY kind, i, v),
+        near AS (SELECT v.pos FROM v JOIN low ON v.kind = low.kind AND v.i = low.i AND v.v = low.v WHERE low.pos < v.pos
+                 UNION SELECT u.pos FROM u JOIN low ON u.kind = low.kind AND u.l = low.v WHERE low.pos < u.pos
+                 UNION SELECT v.pos FROM v JOIN u ON v.kind = u.kind AND v.v = u.l WHERE u.pos < v.pos),
+        gone AS (SELECT o.doc_id, o.line_no FROM o JOIN u ON o.l = u.l LEFT JOIN near ON u.pos = near.pos WHERE o.pos > u.pos OR near.pos IS NOT NULL),
         per AS (SELECT doc_id, count(*) AS n, string_agg(line_no::VARCHAR, ',' ORDER BY line_no) AS x FROM gone GROUP BY doc_id)
-        SELECT d.doc_id, len(string_split(coalesce(d.text, ''), chr(10)))::BIGINT AS n_lines, coalesce(per.n, 0)::BIGINT AS n_dropped, coalesce(per.x, '') AS dropped
-        FROM documents d LEFT JOIN per ON d.doc_id = per.doc_id""",
+        SELECT d.doc_id, len(d.ls)::BIGINT AS n_lines, coalesce(per.n, 0)::BIGINT AS n_dropped, coalesce(per.x, '') AS dropped
+        FROM d LEFT JOIN per ON d.doc_id = per.doc_id""",
     "op7_chat_format": """
         SELECT conv_id, turn, role, turn AS at_turn, 0 AS at_rank, 0::BIGINT AS n_calls, 0::BIGINT AS n_valid, 0::BIGINT AS n_answered, 'plain' AS status,
                '{"content":' || to_json(text)::VARCHAR || ',"role":' || to_json(role)::VARCHAR || '}' AS message

@@ -209,28 +209,37 @@ def test_near_at_another_similarity(spark):
 
 
 def brute_lines(rows):
-    """Earlier lines first; a line goes if it equals an earlier one or is one word edit from one."""
-    lines = sorted(((d, n, [w for w in re.split(r"[\x20\x09-\x0D]+", line) if w]) for d, t in rows for n, line in enumerate((t or "").split("\n"))), key=lambda x: x[:2])
+    """Earlier lines first; a line goes if it equals an earlier one or is one unit's edit from one."""
+    last = max((d for d, _ in rows if d is not None), default=0) + 1
+    lines = sorted(((last if d is None else d, n, " ".join(w for w in re.split(r"[\x20\x09-\x0D]+", line) if w)) for d, t in dict(rows).items() for n, line in enumerate((t or "").split("\n"))), key=lambda x: x[:2])
+
+    def units(line):
+        w = line.split(" ")
+        if len(w) >= line_dedup.MIN_WORDS:
+            return "words", w
+        return ("characters", list(line)) if len(line) >= line_dedup.MIN_CHARS else ("whole", None)
 
     def near(a, b):
-        if abs(len(a) - len(b)) > 1 or min(len(a), len(b)) < line_dedup.MIN_WORDS:
+        (k, a), (kb, b) = a, b
+        if k != kb or k == "whole" or abs(len(a) - len(b)) > 1:
             return False
         if len(a) == len(b):
             return sum(x != y for x, y in zip(a, b)) <= 1
         s, g = sorted((a, b), key=len)
         return any(g[:i] + g[i + 1 :] == s for i in range(len(g)))
 
-    gone, seen = defaultdict(list), []
-    for d, n, w in lines:
-        if w and any(w == v or near(w, v) for v in seen):
-            gone[d].append(n)
-        if w:
-            seen.append(w)
-    return {d: (len((t or "").split("\n")), gone[d]) for d, t in rows}
+    gone, seen, known = defaultdict(set), [], set()
+    for d, n, line in lines:
+        u = units(line)
+        if line and (line in known or any(near(u, v) for v in seen)):
+            gone[d].add(n)
+        if line:
+            seen.append(u), known.add(line)
+    return {d: (len((t or "").split("\n")), sorted(gone[last if d is None else d])) for d, t in rows}
 
 
 def line_rows():
-    base = words(14, 77)
+    base, url, han = words(14, 77), "https://example.org/path/to/some/page?id=1234567", "今天天气很好我们一起去公园散步然后回家吃饭看书睡觉明天继续"
     return [
         (1, " ".join(base) + "\nshort line here\n\n" + " ".join(words(9, 5))),
         (2, " ".join(base[:6] + ["other"] + base[7:]) + "\nshort line there\n\n"),
@@ -238,6 +247,9 @@ def line_rows():
         (4, " ".join(["pre", *base]) + "\n" + " ".join(base[:-1])),
         (5, " ".join(base[:3] + ["x"] + base[4:9] + ["y"] + base[10:])),
         (6, None), (7, ""), (8, "\n\n"), (9, LONG), (10, LONG + " more"), (11, " ".join(base).replace(" ", "\t")),
+        (12, f"{url}\n{han}\n" + " ".join(words(8, 6))), (13, f"{url}8\n{han[:9]}{han[10:]}\n" + " ".join(words(8, 6)[1:])), (14, f"x{url[1:]}\n{han[:4]}雨{han[5:]}"),
+        (15, f"{url}89\n{han[:2]}雨雨{han[4:]}\nChapter 1\nChapter 2\n\ttab  twice\r\n tab twice"), (12, f"{url}\n{han}\n" + " ".join(words(8, 6))), (None, f"{url}\nonly here by itself, and long"),
+        (16, "a a a a a a a a a a\na a a a a a a a a\na a a a b a a a a a\nb a a a a a a a a a"), (17, "aaaaaaaaaaaaaaaaaaaaaaaaaa\naaaaaaaaaaaaaaaaaaaaaaaaa\naaaaaaabaaaaaaaaaaaaaaaaaaa😀"),
     ]
 
 
