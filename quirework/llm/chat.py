@@ -1,18 +1,25 @@
 """Chat formatting with linked tool calls (DataFrame functions only).
 
-A message's text may be a JSON object: an assistant's ``{"content": ..., "tool_calls": [{"id",
-"name", "arguments": {...}}]}`` or a tool's ``{"tool_call_id": ..., "content": ...}``; any other
-text is plain content.  Calls and results are equi-joined by (conversation, identifier); a
-result is placed after its call, whichever came first; arguments are validated against the tool's
-schema; every message is serialised as canonical JSON (sorted keys, no blanks).
+A message's text may be a JSON object with ``tool_calls`` (each ``{"id", "name", "arguments"}``, or
+these inside ``"function"``; arguments may be an object or a string that holds one) or with
+``tool_call_id``; any other text is plain content.  Objects are read as variants, so numbers, strings,
+lists and nested values keep their types.  Calls of assistant messages and results in tool messages
+are equi-joined by (conversation, identifier); a result is placed after its call, whichever came
+first; arguments are validated against the tool's schema; every message is serialised as canonical
+JSON (sorted keys, no blanks, numbers in one spelling).  Whatever else an object holds stands under
+``extra``, so nothing is lost, whoever sent it.
 
 One row per message, never per conversation, so a conversation of any length is no single row:
 (conv_id, at_turn, at_rank, turn) is the topological order.
 
-Defined cases: null text and role count as empty; a repeated call identifier belongs to its
-smallest turn; a result without a call keeps its place and is 'orphan'; a call is 'unanswered'
-without results; an unknown tool or arguments that do not fit its schema make a call invalid;
-repeated rows are formatted each; extra columns are ignored.
+Defined cases: null text and role count as empty; text that looks like an object and is none is
+content as it is; a repeated call identifier belongs to its smallest turn, and there counts once; a
+call without identifier is never answered; a message is 'answered' when each identifier that belongs
+to it has a result; a result without a call keeps its place and is 'orphan'; an unknown tool,
+arguments that do not fit its schema, unknown arguments or arguments that are no object make a call
+invalid, missing ones count as none; tool calls of others than assistants and results of others than
+tools are kept and not linked; repeated rows are formatted each; very long texts are one message; an
+empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -22,69 +29,108 @@ from pyspark.sql import functions as F
 
 from .common import text_or_empty
 
-_JSON = "content string, tool_call_id string, tool_calls array<struct<id:string, name:string, arguments:map<string,string>>>"
 #: Tool -> argument -> (type, required).
 SCHEMAS = {
     "search": {"query": ("string", True), "limit": ("integer", False)},
     "calculate": {"expression": ("string", True)},
     "fetch": {"url": ("string", True), "timeout": ("number", False)},
 }
-_TYPES = {"string": r"(?s).*", "integer": r"-?[0-9]+", "number": r"-?[0-9]+(\.[0-9]+)?([eE][+-]?[0-9]+)?", "boolean": "true|false"}
+#: What schema_of_variant says of values of each type.
+_TYPES = {"string": "STRING", "integer": r"BIGINT|DECIMAL\([0-9]+,0\)", "number": r"BIGINT|DOUBLE|FLOAT|DECIMAL\(.*", "boolean": "BOOLEAN", "array": "ARRAY<.*", "object": "OBJECT<.*"}
 
 
-def _sorted(m: Column) -> Column:
-    return F.map_from_entries(F.array_sort(F.map_entries(m)))
+def _get(c: Column, path: str, kind: str) -> Column:
+    return F.try_variant_get(c, path, kind)
+
+
+def _rest(m: Column, *known: str) -> Column:
+    """The entries of a map but for some, null without any."""
+    rest = F.map_filter(m, lambda k, _: ~k.isin(*known))
+    return F.when(F.size(rest) > 0, rest)
 
 
 def valid_call(name: Column, args: Column, schemas: dict = SCHEMAS) -> Column:
-    """Whether the arguments of a call fit the schema of its tool."""
+    """Whether the arguments of a call, a variant, fit the schema of its tool."""
+    fields_of = F.when(args.isNull() | F.is_variant_null(args), F.create_map().cast("map<string,variant>")).otherwise(_get(args, "$", "map<string,variant>"))
     out = F.lit(False)
-    args = F.coalesce(args, F.create_map().cast("map<string,string>"))
     for tool, fields in sorted(schemas.items()):
-        fits = F.size(F.array_except(F.map_keys(args), F.array(*map(F.lit, sorted(fields))))) == 0
+        fits = F.size(F.array_except(F.map_keys(fields_of), F.array(*map(F.lit, sorted(fields))))) == 0
         for field, (kind, required) in sorted(fields.items()):
-            v = F.element_at(args, F.lit(field))
-            fits = fits & F.when(v.isNull(), F.lit(not required)).otherwise(v.rlike(f"^(?:{_TYPES[kind]})$"))
+            v = F.element_at(fields_of, F.lit(field))
+            fits = fits & F.when(v.isNull(), F.lit(not required)).otherwise(F.schema_of_variant(v).rlike(f"^(?:{_TYPES[kind]})$"))
         out = F.when(name == tool, fits).otherwise(out)
     return F.coalesce(out, F.lit(False))
 
 
-def format_messages(messages: DataFrame, schemas: dict = SCHEMAS) -> DataFrame:
-    """conv_id, turn, role, at_turn, at_rank, n_calls, n_valid, n_answered, status, message (canonical JSON)."""
+def _call(c: Column, schemas: dict) -> Column:
+    """One call in canonical form; keys stand in sorted order."""
+    own = _get(c, "$", "map<string,variant>")
+    inner = _get(c, "$.function", "map<string,variant>")
+    name = F.coalesce(_get(c, "$.name", "string"), _get(c, "$.function.name", "string"))
+    raw = F.coalesce(_get(c, "$.arguments", "variant"), _get(c, "$.function.arguments", "variant"))
+    args = F.when(F.schema_of_variant(raw) == "STRING", F.coalesce(F.try_parse_json(raw.cast("string")), raw)).otherwise(raw)
+    # what is no object is kept whole
+    extra = F.when(own.isNull(), F.create_map(F.lit("value"), c)).otherwise(_rest(own, "id", "name", "arguments", "function"))
+    # a function that is no object, or a second name or arguments in it
+    odd = F.when(inner.isNull(), _get(c, "$.function", "variant"))
+    twice = F.when(_get(c, "$.name", "string").isNotNull() & _get(c, "$.function.name", "string").isNotNull(), inner["name"])
+    again = F.when(_get(c, "$.arguments", "variant").isNotNull(), _get(c, "$.function.arguments", "variant"))
+    return F.struct(
+        args.alias("arguments"), extra.alias("extra"), F.coalesce(odd, again).alias("function"), _rest(inner, "name", "arguments").alias("function_extra"), twice.alias("function_name"),
+        _get(c, "$.id", "string").alias("id"), name.alias("name"), valid_call(name, args, schemas).alias("valid"),
+    )
+
+
+def read_messages(messages: DataFrame, schemas: dict = SCHEMAS) -> DataFrame:
+    """conv_id, turn, role, ids (of calls that link), answers, n_calls, n_valid, message."""
     text = text_or_empty("text")
-    # only what looks like an object is parsed; a text that is no such object is content as it is
-    parsed = F.when(F.ltrim(text).startswith("{") & text.rlike(r'"(tool_calls|tool_call_id)"'), F.from_json(text, _JSON))
-    m = messages.select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), text.alias("text"), parsed.alias("p"))
-    is_object = F.col("p").isNotNull() & (F.col("p.tool_calls").isNotNull() | F.col("p.tool_call_id").isNotNull())
-    m = m.select(
+    # only what looks like such an object is parsed
+    looks = F.ltrim(text).startswith("{") & (text.contains('"tool_calls"') | text.contains('"tool_call_id"'))
+    m = messages.select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), text.alias("text"), F.when(looks, F.try_parse_json(text)).alias("v"))
+    m = m.withColumn("o", _get(F.col("v"), "$", "map<string,variant>"))
+    known = F.map_contains_key("o", "tool_calls") | F.map_contains_key("o", "tool_call_id")
+    m = m.withColumn("raw", F.when(known, _get(F.col("v"), "$.tool_calls", "array<variant>"))).withColumn("known", F.coalesce(known, F.lit(False)))
+    m = m.withColumn("calls", F.transform("raw", lambda c: _call(c, schemas)))
+    # calls that are no list, and a role of the object's own, are kept as extra
+    extra = F.when(F.col("raw").isNull(), _rest(F.col("o"), "content", "tool_call_id")).otherwise(_rest(F.col("o"), "content", "tool_call_id", "tool_calls"))
+    full = F.struct(F.col("o")["content"].alias("content"), extra.alias("extra"), "role", F.col("o")["tool_call_id"].alias("tool_call_id"), F.when(F.size("calls") > 0, F.col("calls")).alias("tool_calls"))
+    plain = F.struct(F.col("text").alias("content"), "role")
+    made = F.when(F.col("role") == "assistant", F.col("calls"))
+    return m.select(
         "conv_id", "turn", "role",
-        F.when(is_object, F.coalesce("p.content", F.lit(""))).otherwise(F.col("text")).alias("content"),
-        F.when(is_object & (F.col("role") == "assistant"), F.coalesce("p.tool_calls", F.array().cast("array<struct<id:string,name:string,arguments:map<string,string>>>"))).otherwise(F.array().cast("array<struct<id:string,name:string,arguments:map<string,string>>>")).alias("calls"),
-        F.when(is_object & (F.col("role") == "tool"), F.col("p.tool_call_id")).alias("answers"),
+        F.coalesce(F.transform(made, lambda c: c["id"]), F.array().cast("array<string>")).alias("ids"),
+        F.when(F.col("known") & (F.col("role") == "tool"), _get(F.col("v"), "$.tool_call_id", "string")).alias("answers"),
+        F.coalesce(F.size(F.filter(made, lambda c: c["valid"])), F.lit(0)).cast("long").alias("n_valid"),
+        F.when(F.col("known"), F.to_json(full)).otherwise(F.to_json(plain)).alias("message"),
     )
+
+
+def format_messages(messages: DataFrame, schemas: dict = SCHEMAS) -> DataFrame:
+    """conv_id, turn, role, at_turn, at_rank, n_calls, n_valid, n_answered, status, message (canonical JSON)."""
+    m = read_messages(messages, schemas)
     # a hot conversation is reduced before the shuffle, and joins are by (conversation, identifier)
-    made = m.select("conv_id", "turn", F.explode(F.transform("calls", lambda c: c["id"])).alias("id")).groupBy("conv_id", "id").agg(F.min("turn").alias("call_turn"))
-    given = m.where("answers is not null").groupBy("conv_id", F.col("answers").alias("id")).agg(F.count("*").alias("n"))
-    answered = made.join(given, ["conv_id", "id"]).groupBy("conv_id", F.col("call_turn").alias("turn")).agg(F.count("*").alias("n_answered"))
-    calls = m.where(F.size("calls") > 0).join(answered, ["conv_id", "turn"], "left")
-    results = m.where("answers is not null").join(made.select(F.col("conv_id").alias("c_conv"), F.col("id").alias("c_id"), "call_turn"), (F.col("conv_id") == F.col("c_conv")) & (F.col("answers") == F.col("c_id")), "left")
-    plain = m.where(F.col("answers").isNull() & (F.size("calls") == 0))
-
-    def shaped(df: DataFrame, call_turn: Column, answered_n: Column, status: Column) -> DataFrame:
-        checked = F.transform("calls", lambda c: F.struct(_sorted(F.coalesce(c["arguments"], F.create_map().cast("map<string,string>"))).alias("arguments"), c["id"].alias("id"), c["name"].alias("name"), valid_call(c["name"], c["arguments"], schemas).alias("valid")))
+    made = m.where(F.size("ids") > 0).select("conv_id", "turn", F.explode("ids").alias("id")).groupBy("conv_id", "id").agg(F.min("turn").alias("call_turn"))
+    given = m.where("answers is not null").groupBy(F.col("conv_id").alias("g_conv"), F.col("answers").alias("g_id")).agg(F.count("*").alias("n"))
+    linked = made.join(given, made["conv_id"].eqNullSafe(given["g_conv"]) & made["id"].eqNullSafe(given["g_id"]), "left")
+    per = linked.groupBy(F.col("conv_id").alias("c_conv"), F.col("call_turn").alias("c_turn")).agg(F.count("n").alias("n_answered"), F.count("*").alias("n_own"))
+    calls = m.where(F.size("ids") > 0)
+    calls = calls.join(per, calls["conv_id"].eqNullSafe(per["c_conv"]) & calls["turn"].eqNullSafe(per["c_turn"]), "left")
+    results = m.where("answers is not null")
+    target = made.select(F.col("conv_id").alias("c_conv"), F.col("id").alias("c_id"), "call_turn", F.lit(True).alias("found"))
+    results = results.join(target, results["conv_id"].eqNullSafe(target["c_conv"]) & (results["answers"] == target["c_id"]), "left")
+    plain = m.where(F.col("answers").isNull() & (F.size("ids") == 0))
+
+    def shaped(df: DataFrame, call_turn: Column, answered: Column, status: Column) -> DataFrame:
         late = F.coalesce(call_turn > F.col("turn"), F.lit(False))
-        body = F.struct(F.col("content"), F.col("role"), F.col("answers").alias("tool_call_id"), F.when(F.size("calls") > 0, checked).alias("tool_calls"))
         return df.select(
             "conv_id", "turn", "role",
             F.when(late, call_turn).otherwise(F.col("turn")).cast("long").alias("at_turn"), late.cast("int").alias("at_rank"),
-            F.size("calls").cast("long").alias("n_calls"), F.size(F.filter(checked, lambda c: c["valid"])).cast("long").alias("n_valid"),
-            answered_n.cast("long").alias("n_answered"), status.alias("status"), F.to_json(body).alias("message"),
+            F.size("ids").cast("long").alias("n_calls"), "n_valid", answered.cast("long").alias("n_answered"), status.alias("status"), "message",
         )
 
     n = F.coalesce("n_answered", F.lit(0))
-    none = F.lit(None).cast("long")
     return (
-        shaped(plain, none, F.lit(0), F.lit("plain"))
-        .union(shaped(calls, none, n, F.when(n >= F.size("calls"), "answered").otherwise("unanswered")))
-        .union(shaped(results, F.col("call_turn"), F.lit(0), F.when(F.col("call_turn").isNull(), "orphan").otherwise("linked")))
+        shaped(plain, F.lit(None).cast("long"), F.lit(0), F.lit("plain"))
+        .union(shaped(calls, F.lit(None).cast("long"), n, F.when((n > 0) & (n == F.col("n_own")), "answered").otherwise("unanswered")))
+        .union(shaped(results, F.col("call_turn"), F.lit(0), F.when(F.col("found"), "linked").otherwise("orphan")))
     )

@@ -33,8 +33,28 @@ def op6_decontamination(spark, sf_dir):
     return decontam.scan(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def tool_messages(turns):
+    """Every turn as a message with tool traffic, as the table has none of its own.
+
+    An assistant's turn calls a tool by the length of its text (well, with a wrong type, or an unknown one).
+    Another turn but the first answers the turn before it, the turn after it or no call.
+    """
+    n, turn = F.length("text"), F.col("turn")
+    at = lambda c: F.concat(F.lit("c"), c.cast("string"))
+    known = F.struct(F.col("text").alias("query"), n.alias("limit"))
+    wrong = F.struct(F.col("text").alias("url"), F.lit("soon").alias("timeout"))
+    arguments = F.when(n % 3 == 0, F.to_json(known)).when(n % 3 == 1, F.to_json(wrong)).otherwise(F.lit("{}"))
+    name = F.when(n % 3 == 0, "search").when(n % 3 == 1, "fetch").otherwise("unknown")
+    call = F.struct(at(turn).alias("id"), F.struct(name.alias("name"), arguments.alias("arguments")).alias("function"))
+    answers = F.when(n % 7 == 0, F.concat(F.lit("x"), turn.cast("string"))).when(n % 5 == 0, at(turn + 1)).otherwise(at(turn - 1))
+    says = F.when(F.col("role") == "assistant", F.to_json(F.struct(F.array(call).alias("tool_calls"), F.col("text").alias("content"))))
+    says = says.when(turn > 0, F.to_json(F.struct(answers.alias("tool_call_id"), F.col("text").alias("content")))).otherwise(F.col("text"))
+    role = F.when((F.col("role") != "assistant") & (turn > 0), "tool").otherwise(F.col("role"))
+    return turns.select("conv_id", "turn", role.alias("role"), says.alias("text"))
+
+
 def op7_chat_format(spark, sf_dir):
-    return chat.format_messages(read_table(spark, sf_dir, "conversations"))
+    return chat.format_messages(tool_messages(read_table(spark, sf_dir, "conversations")))
 
 
 def op8_toxicity(spark, sf_dir):
@@ -74,7 +94,18 @@ ORACLE_SQL = {
         SELECT d.doc_id, len(d.ls)::BIGINT AS n_lines, coalesce(per.n, 0)::BIGINT AS n_dropped, coalesce(per.x, '') AS dropped
         FROM d LEFT JOIN per ON d.doc_id = per.doc_id""",
     "op7_chat_format": """
-        SELECT conv_id, turn, role, turn AS at_turn, 0 AS at_rank, 0::BIGINT AS n_calls, 0::BIGINT AS n_valid, 0::BIGINT AS n_answered, 'plain' AS status,
-               '{"content":' || to_json(text)::VARCHAR || ',"role":' || to_json(role)::VARCHAR || '}' AS message
-        FROM conversations""",
+        WITH t AS (SELECT *, length(text) AS n, to_json(text)::VARCHAR AS j, role = 'assistant' AS calls, role <> 'assistant' AND turn > 0 AS answers FROM conversations),
+        c AS (SELECT conv_id, turn, 'c' || turn AS id FROM t WHERE calls),
+        r AS (SELECT conv_id, turn, CASE WHEN n % 7 = 0 THEN 'x' || turn WHEN n % 5 = 0 THEN 'c' || (turn + 1) ELSE 'c' || (turn - 1) END AS id FROM t WHERE answers),
+        a AS (SELECT DISTINCT c.conv_id, c.turn FROM c JOIN r ON c.conv_id = r.conv_id AND c.id = r.id),
+        l AS (SELECT r.conv_id, r.turn, r.id, c.turn AS call_turn FROM r LEFT JOIN c ON c.conv_id = r.conv_id AND c.id = r.id)
+        SELECT t.conv_id, t.turn, CASE WHEN t.answers THEN 'tool' ELSE t.role END AS role, greatest(t.turn, coalesce(l.call_turn, t.turn)) AS at_turn, (coalesce(l.call_turn, t.turn) > t.turn)::INT AS at_rank,
+               t.calls::BIGINT AS n_calls, (t.calls AND t.n % 3 = 0)::BIGINT AS n_valid, (t.calls AND a.turn IS NOT NULL)::BIGINT AS n_answered,
+               CASE WHEN t.calls THEN CASE WHEN a.turn IS NULL THEN 'unanswered' ELSE 'answered' END WHEN t.answers THEN CASE WHEN l.call_turn IS NULL THEN 'orphan' ELSE 'linked' END ELSE 'plain' END AS status,
+               '{"content":' || t.j || CASE
+                 WHEN t.calls THEN ',"role":"assistant","tool_calls":[{"arguments":' || CASE t.n % 3 WHEN 0 THEN '{"limit":' || t.n || ',"query":' || t.j || '}' WHEN 1 THEN '{"timeout":"soon","url":' || t.j || '}' ELSE '{}' END
+                   || ',"id":"c' || t.turn || '","name":"' || CASE t.n % 3 WHEN 0 THEN 'search' WHEN 1 THEN 'fetch' ELSE 'unknown' END || '","valid":' || (t.n % 3 = 0)::VARCHAR || '}]}'
+                 WHEN t.answers THEN ',"role":"tool","tool_call_id":"' || l.id || '"}'
+                 ELSE ',"role":' || to_json(t.role)::VARCHAR || '}' END AS message
+        FROM t LEFT JOIN a ON t.conv_id = a.conv_id AND t.turn = a.turn LEFT JOIN l ON t.conv_id = l.conv_id AND t.turn = l.turn""",
 }

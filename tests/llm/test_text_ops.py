@@ -370,6 +370,49 @@ def test_licence_size_bound_loses_nothing():
             assert name in {x[0] for x in m}, (name, t[:40])
 
 
+def told(spark, rows):
+    return spark.createDataFrame([(*r, 5, 6) for r in rows], "conv_id long, turn long, role string, text string, id int, n int")
+
+
+def test_chat_keeps_types_and_payloads(spark):
+    """Typed validation, both forms of calls, and nothing of an object is lost whoever sent it."""
+    args = [
+        ("search", {"query": "x", "limit": 3}, True), ("search", {"query": 5}, False), ("search", {"query": "x", "limit": "3"}, False), ("search", {"limit": 3}, False), ("search", None, False),
+        ("search", {"query": "x", "more": 1}, False), ("fetch", {"url": "u", "timeout": 1.5}, True), ("fetch", {"url": "u", "timeout": 2}, True), ("fetch", {"url": None}, False), ("nobody", {}, False), ("calculate", [1], False), ("calculate", "1+1", False),
+    ]
+    calls = [{"id": f"i{k}", "name": n, "arguments": a} for k, (n, a, _) in enumerate(args)]
+    nested = [{"id": f"i{k}", "type": "function", "function": {"name": n, "arguments": json.dumps(a)}} for k, (n, a, _) in enumerate(args)]
+    odd = {"tool_calls": [{"id": "a", "name": "search", "arguments": {"query": {"z": [1, 2.5, None, True], "a": "é\n"}}, "note": [1]}, "text"], "content": [{"type": "text", "text": "hi"}], "tool_call_id": "q", "mood": {"b": 1, "a": 2}}
+    rows = [(1, 0, "assistant", json.dumps({"tool_calls": calls, "content": ""})), (1, 1, "assistant", json.dumps({"tool_calls": nested})), (1, 2, "user", json.dumps(odd)), (1, 3, "assistant", json.dumps({"tool_call_id": "k", "tool_calls": "none"}))]
+    got = {r.turn: r for r in chat.format_messages(told(spark, rows)).collect()}
+    for turn in (0, 1):
+        m = json.loads(got[turn].message)["tool_calls"]
+        assert [c["valid"] for c in m] == [v for *_, v in args] and got[turn].n_valid == 3
+        assert [c.get("arguments") for c in m] == [a for _, a, _ in args]
+        assert turn == 0 or all(c["extra"] == {"type": "function"} for c in m)
+    m = json.loads(got[2].message)
+    assert got[2].n_calls == 0 and got[2].status == "plain" and m["content"] == odd["content"] and m["tool_call_id"] == "q" and m["extra"] == {"mood": odd["mood"]}
+    assert m["tool_calls"][0]["arguments"] == odd["tool_calls"][0]["arguments"] and m["tool_calls"][0]["extra"] == {"note": [1]} and m["tool_calls"][1]["extra"] == {"value": "text"}
+    assert json.loads(got[3].message) == {"extra": {"tool_calls": "none"}, "role": "assistant", "tool_call_id": "k"}
+    for r in got.values():
+        assert json.dumps(json.loads(r.message), sort_keys=True, separators=(",", ":"), ensure_ascii=False) == r.message
+
+
+def test_chat_links_repeated_and_missing_identifiers(spark):
+    call = lambda *ids: json.dumps({"tool_calls": [{"id": i, "name": "calculate", "arguments": {"expression": "1"}} for i in ids]})
+    answer = lambda i: json.dumps({"tool_call_id": i, "content": "x" * 100_000})
+    rows = [
+        (1, 0, "assistant", call("a", "a")), (1, 1, "tool", answer("a")), (1, 2, "tool", answer("a")), (1, 3, "assistant", call("a")), (1, 4, "assistant", call(None, "b")), (1, 5, "tool", answer("b")),
+        (None, 0, "assistant", call("n")), (None, 1, "tool", answer("n")), (2, 1, "tool", answer("a")), (1, 5, "tool", answer("b")),
+    ]
+    got = {(r.conv_id, r.turn): r for r in chat.format_messages(told(spark, rows)).collect()}
+    state = {k: (r.status, r.n_calls, r.n_answered) for k, r in got.items()}
+    assert state[1, 0] == ("answered", 2, 1) and state[1, 3] == ("unanswered", 1, 0) and state[1, 4] == ("unanswered", 2, 1)
+    assert [state[1, t][0] for t in (1, 2, 5)] == ["linked"] * 3 and state[2, 1][0] == "orphan"
+    assert state[None, 0] == ("answered", 1, 1) and state[None, 1][0] == "linked"
+    assert chat.format_messages(told(spark, rows)).count() == len(rows)
+
+
 def test_chat(spark):
     call = json.dumps({"content": "", "tool_calls": [{"id": "a", "name": "search", "arguments": {"query": "x", "limit": 3}}, {"id": "b", "name": "fetch", "arguments": {"timeout": 2}}]})
     rows = [
