@@ -1,28 +1,32 @@
 """Benchmark decontamination by pigeonhole edit matching.
 
 Both sides are lower-cased with runs of blanks as one space.  An item of m characters may differ
-in k = max(1, m // 20) edits; cut into k + 1 pieces, one of them must then stand unchanged in a
-document.  An Aho-Corasick automaton finds the pieces in one pass over each whole text, and
-Myers' bit-parallel distance verifies the item around each hit.
-
-The benchmark goes to executors in blocks of at most BLOCK_CHARS characters, however many blocks
-that takes; documents are never shuffled or collected.
-
-Defined cases: null text counts as empty; items that are empty or shorter than MIN_ITEM characters
-after normalising are left out, for they would match by chance; repeated items count by item_id;
-an empty benchmark or documents table gives no contamination; extra columns are ignored; repeated
-rows give repeated results.
+in k = m // 20 edits, one at least from 20 characters on; cut into k + 1 pieces, one of them must
+then stand unchanged in a document.  An Aho-Corasick automaton finds the pieces in one pass over each
+whole text, and Myers' bit-parallel distance verifies the item around each hit.  Items of fewer than
+20 characters have no error budget: they are found as they are, between characters that are neither
+letters nor digits.
+
+The benchmark goes to executors in blocks of at most BLOCK_CHARS characters, or one item, through the
+driver one block at a time; a worker holds one block's automaton and, with several blocks, at most
+CHUNK_CHARS characters of documents and one more batch.  Documents are read once and never shuffled
+or collected.
+
+Defined cases: null text counts as empty; empty items are found nowhere; repeated items count by
+item_id; an item without item_id makes a document contaminated and is listed as null; an empty
+benchmark or documents table gives no contamination; very long texts are searched whole; extra columns
+are ignored; repeated rows give repeated results.
 """
 
 from __future__ import annotations
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import free_name, text_or_empty
 
-ERROR_SHARE, MIN_ITEM, BLOCK_CHARS = 20, 24, 4_000_000
+ERROR_SHARE, BLOCK_CHARS, CHUNK_CHARS = 20, 4_000_000, 16_000_000
 
 
 def normalise(text: str | None) -> str:
@@ -30,7 +34,7 @@ def normalise(text: str | None) -> str:
 
 
 def budget(m: int) -> int:
-    return max(1, m // ERROR_SHARE)
+    return m // ERROR_SHARE
 
 
 def cut(item: str, k: int) -> list[tuple[int, str]]:
@@ -69,13 +73,22 @@ def masks(item: str) -> dict[str, int]:
     return out
 
 
+def alone(text: str, start: int, end: int) -> bool:
+    """Whether no letter or digit stands beside text[start:end]."""
+    return not (start and text[start - 1].isalnum()) and not text[end : end + 1].isalnum()
+
+
+def none_last(i: int | None) -> tuple:
+    return i is None, i or 0
+
+
 class Matcher:
     """Finds the items of one block in texts."""
 
     def __init__(self, items: list[tuple[int, str]]):
         import ahocorasick
 
-        self.items = [(i, t, budget(len(t))) for i, t in items if len(t) >= MIN_ITEM]
+        self.items = [(i, t, budget(len(t))) for i, t in items if t]
         self.masks = [None] * len(self.items)
         where: dict[str, list[tuple[int, int]]] = {}
         for x, (_, t, k) in enumerate(self.items):
@@ -103,48 +116,74 @@ class Matcher:
                 if (x, start) in tried:
                     continue
                 tried.add((x, start))
-                if text.startswith(item, max(start, 0)):
+                if not k:
+                    if alone(text, start, end + 1):
+                        found.add(x)
+                    continue
+                if start >= 0 and text.startswith(item, start):
                     found.add(x)
                     continue
                 if self.masks[x] is None:
                     self.masks[x] = masks(item)
                 if myers(self.masks[x], len(item), text[max(0, start - k) : start + len(item) + k], k):
                     found.add(x)
-        return sorted({self.items[x][0] for x in found})
+        return sorted({self.items[x][0] for x in found}, key=none_last)
 
 
-def _blocks(benchmark: DataFrame) -> DataFrame:
-    """item_id, text (normalised for blanks on the executors), block; blocks of at most BLOCK_CHARS, or one item."""
-    b = benchmark.select(F.col("item_id").cast("long"), text_or_empty("text").alias("text"))
-    size = F.sum(F.length("text")).over(Window.orderBy("item_id", "text").rowsBetween(Window.unboundedPreceding, -1))
-    return b.withColumn("block", F.floor(F.coalesce(size, F.lit(0)) / BLOCK_CHARS))
+def _blocks(benchmark: DataFrame):
+    """Lists of (item_id, normalised text), of at most BLOCK_CHARS characters or one item."""
+    block, size = [], 0
+    for i, t in benchmark.select(F.col("item_id").cast("long"), "text").toLocalIterator():
+        t = normalise(t)
+        if block and size + len(t) > BLOCK_CHARS:
+            yield block
+            block, size = [], 0
+        block.append((i, t))
+        size += len(t)
+    if block:
+        yield block
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, name: str = "_items") -> DataFrame:
     """The rows of docs with one more column: the sorted ids of the items found."""
-    total = benchmark.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
-    parts = [benchmark.select(F.col("item_id").cast("long"), "text")] if total <= BLOCK_CHARS else None
-    if parts is None:
-        placed = _blocks(benchmark)
-        n = placed.agg(F.max("block")).first()[0] + 1
-        parts = [placed.where(F.col("block") == i).select("item_id", "text") for i in range(n)]
+    sc = docs.sparkSession.sparkContext
+    parts = [sc.broadcast(block) for block in _blocks(benchmark)]
     out = docs.withColumn(name, F.array().cast("array<bigint>"))
-    schema = out.schema
-    for part in parts:
-        items = [(r[0], normalise(r[1])) for r in part.collect()]  # one bounded block
-        out = out.mapInArrow(_finder(items, out.columns.index("text"), out.columns.index(name)), schema)
-    return out
+    return out.mapInArrow(_finder(parts, out.columns.index("text"), out.columns.index(name), CHUNK_CHARS), out.schema)
 
 
-def _finder(items, at_text: int, at_items: int):
-    def run(batches):
-        matcher = Matcher(items)
+def _finder(parts: list, at_text: int, at_items: int, chunk: int):
+    def told(b, found: list[set]):
+        cols = list(b.columns)
+        cols[at_items] = pa.array([sorted(f, key=none_last) for f in found], pa.list_(pa.int64()))
+        return pa.RecordBatch.from_arrays(cols, names=b.schema.names)
+
+    def held(batches):
+        """Lists of batches with about so many characters in them."""
+        some, size = [], 0
         for b in batches:
-            had, texts = b.column(at_items).to_pylist(), b.column(at_text).to_pylist()
-            found = [sorted({*h, *matcher.find(t)}) for h, t in zip(had, texts)]
-            cols = list(b.columns)
-            cols[at_items] = pa.array(found, pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays(cols, names=b.schema.names)
+            some.append(b)
+            size += b.column(at_text).nbytes
+            if size > chunk:
+                yield some
+                some, size = [], 0
+        if some:
+            yield some
+
+    def run(batches):
+        if len(parts) < 2:
+            matcher = Matcher(parts[0].value if parts else [])
+            for b in batches:
+                yield told(b, [matcher.find(t) for t in b.column(at_text).to_pylist()])
+            return
+        for some in held(batches):
+            found = [[set() for _ in range(b.num_rows)] for b in some]
+            for part in parts:
+                matcher = Matcher(part.value)
+                for b, sets in zip(some, found):
+                    for x, t in zip(sets, b.column(at_text).to_pylist()):
+                        x.update(matcher.find(t))
+            yield from map(told, some, found)
 
     return run
 

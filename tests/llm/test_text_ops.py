@@ -150,25 +150,35 @@ ITEM = "the quick brown fox jumps over the lazy dog while seventeen quiet owls w
 
 
 def edit_distance_in(item, text):
-    row = [0] * (len(text) + 1)
-    for i, a in enumerate(item, 1):
-        new = [i]
-        for j, b in enumerate(text, 1):
-            new.append(min(row[j] + 1, new[j - 1] + 1, row[j - 1] + (a != b)))
-        row = new
-    return min(row)
+    """Sellers' columns, by numpy along the item."""
+    import numpy as np
+
+    codes, col = np.array([ord(c) for c in item]), np.arange(len(item) + 1)
+    steps, best = np.arange(len(item) + 1), len(item)
+    for c in text:
+        new = np.concatenate(([0], np.minimum(col[:-1] + (codes != ord(c)), col[1:] + 1)))
+        col = np.minimum.accumulate(new - steps) + steps
+        best = min(best, int(col[-1]))
+    return best
 
 
 def test_decontamination_matches_brute_force(spark):
     cut = lambda *at: "".join(c for i, c in enumerate(ITEM) if i not in at)
-    rows = [(10, "x " + ITEM.upper() + " y"), (11, cut(5, 50, 90)), (12, cut(3, 9, 20, 33, 60, 70, 80)), (13, ITEM[:60]), (14, ITEM.replace(" ", "\n\t")), (15, ITEM.replace("quick", "quack")), *EDGES]
-    items = [(1, ITEM), (2, ""), (3, None), (4, "tiny"), (5, "another question that nobody has ever put into any document"), (6, ITEM)]
+    rows = [(10, "x " + ITEM.upper() + " y"), (11, cut(5, 50, 90)), (12, cut(3, 9, 20, 33, 60, 70, 80)), (13, ITEM[:60]), (14, ITEM.replace(" ", "\n\t")), (15, ITEM.replace("quick", "quack")), (16, "a Tiny\nthing"), (17, "tinyest"), (18, "thing-tiny"), (19, "tin y"), (20, "nineteen characters"), (21, "nineteen charaxters"), (22, "see twenty characterz or not"), *EDGES]
+    items = [(1, ITEM), (2, ""), (3, None), (4, "tiny"), (7, "nineteen characters"), (8, "twenty charactersss."), (5, "another question that nobody has ever put into any document"), (6, ITEM)]
     bench = spark.createDataFrame([(*i, 9) for i in items], "item_id long, text string, doc_id int")
     got = {r.doc_id: r.items for r in decontam.scan(frame(spark, rows), bench).collect()}
-    for d, t in rows:
+    for d, t in dict(rows).items():
         t = decontam.normalise(t)
-        want = [i for i, x in items if len(n := decontam.normalise(x)) >= decontam.MIN_ITEM and len(t) < 5000 and edit_distance_in(n, t) <= decontam.budget(len(n))]
-        assert got[d] == want, d
+        want = []
+        for i, x in items:
+            n = decontam.normalise(x)
+            if len(n) >= 20:
+                found = edit_distance_in(n, t) <= max(1, len(n) // 20)
+            else:
+                found = bool(n) and re.search(rf"(?<![^\W_]){re.escape(n)}(?![^\W_])", t) is not None
+            want += [i] * found
+        assert got[d] == sorted(want), d
     clean = decontam.clean(frame(spark, rows), bench)
     assert 10 not in [r.doc_id for r in clean.collect()] and clean.columns == frame(spark, rows).columns
     assert decontam.scan(frame(spark, rows), bench.limit(0)).where("contaminated").count() == 0
@@ -179,6 +189,7 @@ def test_decontamination_in_blocks(spark, monkeypatch):
     docs = frame(spark, [(i, f"see: item number {i} has its own words like q{i}z and v{i}k.") for i in range(9)])
     whole = {r.doc_id: r.items for r in decontam.scan(docs, bench).collect()}
     monkeypatch.setattr(decontam, "BLOCK_CHARS", 100)
+    monkeypatch.setattr(decontam, "CHUNK_CHARS", 200)
     assert {r.doc_id: r.items for r in decontam.scan(docs, bench).collect()} == whole and whole[3] == [3]
 
 
