@@ -1,13 +1,16 @@
 """Licence scan: Dice coefficient over word bigrams against licence templates.
 
-A text is normalised to lower-case words.  Bigrams that a template has mark regions of the text;
-a region is compared with each template whose size lets the coefficient reach the threshold
-(2 * min / (sum of sizes) bounds it from above), so most templates are never compared.  A
-licence may stand anywhere in a longer text, and a whole text that is a licence is one region.
+A text is normalised to lower-case words, its bigrams are a bag.  For every template the scan finds
+the windows of the text with the highest Dice coefficient, 2 * shared / (bigrams of the window + of the
+template), of all windows there are.  A coefficient of the threshold needs a number of shared bigrams
+and allows a number of bigrams in the window, both set by the template's size; templates and places
+whose hits can't reach that are pruned without loss, which leaves few to compare.  A licence may
+stand anywhere in a longer text, and a whole text that is a licence is one window.
 
 Defined cases: null text counts as empty; a text without a match has license null, dice 0.0 and
-n_matches 0; ties go to the larger template, then by name; repeated rows are scanned each;
-extra columns are ignored.
+n_matches 0; an empty table gives an empty result; very long texts are scanned whole; of windows that
+overlap, the one with the highest coefficient stays, then the larger template, the smaller name, the
+earlier place; repeated rows are scanned each; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -19,57 +22,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from .common import text_or_empty
+from .license_texts import TEMPLATES
 
 THRESHOLD = 0.75
 _WORDS = re.compile(r"[^\W_]+(?:[.+-][^\W_]+)*")
 
-TEMPLATES = {
-    "Apache-2.0": [
-        "Licensed under the Apache License, Version 2.0.",
-        'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License.',
-    ],
-    "MIT": [
-        "Released under the MIT License.",
-        "Licensed under the MIT License.",
-        'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.',
-    ],
-    "GPL-3.0": [
-        "This work is licensed under the GNU General Public License, version 3.",
-        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
-    ],
-    "GPL-2.0": [
-        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."
-    ],
-    "LGPL-2.1": [
-        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version."
-    ],
-    "MPL-2.0": [
-        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."
-    ],
-    "CC-BY-4.0": [
-        "Licensed under CC BY 4.0.",
-        "This work is licensed under a Creative Commons Attribution 4.0 International License.",
-    ],
-    "CC-BY-SA-4.0": [
-        "Licensed under CC BY-SA 4.0.",
-        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
-    ],
-    "CC-BY-NC-4.0": [
-        "Licensed under CC BY-NC 4.0.",
-        "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
-    ],
-    "BSD-3-Clause": [
-        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."
-    ],
-    "BSD-2-Clause": [
-        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."
-    ],
-    "ISC": [
-        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."
-    ],
-    "Unlicense": ["This is free and unencumbered software released into the public domain."],
-}
-
 
 def normalise(text: str | None) -> list[str]:
     return _WORDS.findall((text or "").lower())
@@ -78,77 +35,72 @@ def normalise(text: str | None) -> list[str]:
 class Scanner:
     def __init__(self, templates: dict[str, list[str]] = TEMPLATES, threshold: float = THRESHOLD):
         self.threshold = threshold
-        listed = sorted((name, tuple(normalise(t))) for name, texts in templates.items() for t in texts)
+        listed = sorted((name, tuple(w)) for name, texts in templates.items() for t in texts if len(w := normalise(t)) > 1)
         self.ids: dict[str, int] = {}
         for _, w in listed:
             for x in w:
                 self.ids.setdefault(x, len(self.ids) + 1)
         self.width = len(self.ids) + 1
         self.names = [n for n, _ in listed]
-        self.sets = [{self.ids[a] * self.width + self.ids[b] for a, b in zip(w, w[1:])} for _, w in listed]
-        self.of: dict[int, list[int]] = {}
-        for t, s in enumerate(self.sets):
-            for g in s:
-                self.of.setdefault(g, []).append(t)
-        self.mine = np.zeros(self.width * self.width, bool)
-        self.mine[list(self.of)] = True
-
-    @staticmethod
-    def stretch(order: list[int], grams: np.ndarray, size: int) -> int:
-        """How many of the ordered hits, from the first on, make the densest stretch.
-
-        A new bigram counts 1, a repeated one or one between hits -1/2; the stretch ends where the sum
-        was highest before it fell to 0 or by a quarter of the template.
-        """
-        score = best = 1.0
-        end, seen = 1, {grams[order[0]]}
-        for n, (p, q) in enumerate(zip(order, order[1:]), 2):
-            score += (-0.5 if grams[q] in seen else 1) - 0.5 * (abs(q - p) - 1)
-            seen.add(grams[q])
-            if score <= 0 or best - score > size / 4:
-                break
-            if score >= best:
-                best, end = score, n
-        return end
-
-    def regions(self, at: list[int], grams: np.ndarray, size: int):
-        """Hits of dense regions; linear, for a sum that falls slowly still uses up what it had."""
-        i = 0
-        while i < len(at):
-            part = at[i : i + 3 * size]  # a region that can match has at most size / 0.6 hits
-            end = i + self.stretch(part, grams, size)
-            yield at[end - self.stretch(at[i:end][::-1], grams, size) : end]
-            i = end
+        self.bags: list[dict[int, int]] = []
+        for _, w in listed:
+            bag: dict[int, int] = {}
+            for a, b in zip(w, w[1:]):
+                g = self.ids[a] * self.width + self.ids[b]
+                bag[g] = bag.get(g, 0) + 1
+            self.bags.append(bag)
+        self.sizes = np.array([sum(b.values()) for b in self.bags])
+        # shared bigrams that a match must have, bigrams that its window may have
+        self.least = np.ceil(threshold * self.sizes / (2 - threshold) - 1e-9).astype(np.int64)
+        self.most = np.floor(self.sizes * (2 - threshold) / threshold + 1e-9).astype(np.int64)
+        # a row for each known bigram with a bit for each template, row 0 for all others
+        known = sorted(set().union(*self.bags)) if self.bags else []
+        self.row = np.zeros(self.width * self.width, np.int32)
+        self.row[known] = np.arange(1, len(known) + 1)
+        has = np.zeros((len(known) + 1, len(self.bags)), np.uint8)
+        for t, bag in enumerate(self.bags):
+            has[self.row[list(bag)], t] = 1
+        self.has = has
+
+    def windows(self, t: int, at: np.ndarray, grams: np.ndarray):
+        """(dice, first, last hit) of the best window from each hit on that reaches the threshold."""
+        least, most, size, bag = int(self.least[t]), int(self.most[t]), int(self.sizes[t]), self.bags[t]
+        ends = np.searchsorted(at, at + most)  # hits that a window from here on may have
+        places = at.tolist()
+        codes = grams[at].tolist()
+        for i in np.flatnonzero(ends - np.arange(len(at)) >= least).tolist():
+            left, shared, best, last = {}, 0, 0.0, i
+            start = places[i]
+            for j in range(i, ends[i]):
+                g = codes[j]
+                n = left.get(g, bag[g])
+                if not n:
+                    continue
+                left[g] = n - 1
+                shared += 1
+                dice = 2 * shared / (places[j] - start + 1 + size)
+                if dice > best:
+                    best, last = dice, j
+            if best >= self.threshold:
+                yield best, start, places[last]
 
     def matches(self, text: str | None) -> list[tuple[str, float, int, int]]:
-        """(name, dice, first word, end word) of the best template of each region, in order."""
+        """(name, dice, first word, end word) of the best template of each place, in order."""
         words = normalise(text)
         ids = np.fromiter((self.ids.get(w, 0) for w in words), np.int64, len(words))
-        if len(ids) < 2:
+        if len(ids) < 2 or not self.bags:
             return []
         grams = ids[:-1] * self.width + ids[1:]
-        hits = np.flatnonzero(self.mine[grams])
+        rows = self.row[grams]
+        hits = np.flatnonzero(rows)
         if not len(hits):
             return []
-        near: dict[int, list[int]] = {}
-        for p in hits.tolist():
-            for t in self.of[grams[p]]:
-                near.setdefault(t, []).append(p)
+        has = self.has[rows[hits]]
         found = []
-        for t, at in near.items():
-            size = len(self.sets[t])
-            least = self.threshold * size / (2 - self.threshold)  # shared bigrams that a match must have
-            most = size * (2 - self.threshold) / self.threshold  # bigrams that a region may have
-            if len(at) < least:
-                continue
-            for region in self.regions(at, grams, size):
-                n = len({*grams[region[0] : region[-1] + 1].tolist()})
-                if least <= n <= most:
-                    dice = 2 * len({int(grams[q]) for q in region}) / (n + size)
-                    if dice >= self.threshold:
-                        found.append((-round(dice, 6), -size, self.names[t], region[0], region[-1] + 2))
+        for t in np.flatnonzero(has.sum(0, dtype=np.int64) >= self.least).tolist():
+            at = hits[has[:, t] > 0]
+            found += [(-round(d, 6), -int(self.sizes[t]), self.names[t], a, b + 2) for d, a, b in self.windows(t, at, grams)]
         out: list[tuple[str, float, int, int]] = []
-        # of overlapping regions the best stays
         for d, _, name, a, b in sorted(found):
             if all(b <= x or a >= y for *_, x, y in out):
                 out.append((name, -d, a, b))

@@ -50,7 +50,7 @@ FLOORS, HALF = (0.4, 0.55, 0.7, 0.85, 0.99), 0.01
 #: A window has at most so many characters more than its landmark.
 SLACK = 3
 #: So many words are remembered by a worker.
-MEMORY = 400_000
+MEMORY = 150_000
 
 _LOOKS = str.maketrans({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "!": "i"})
 _LATIN = frozenset("abcdefghijklmnopqrstuvwxyz" + "".join(map(chr, range(0xDF, 0x100)))) - {"\xf7"}
@@ -235,7 +235,10 @@ def telling(a, b, na: int, nb: int):
 
 
 def find_landmarks(toxic: list[Counter], other: list[Counter]) -> list[str]:
-    """Beginnings of words that tell toxic texts, the most telling first; words that one explains no longer speak for another."""
+    """Beginnings of words that tell toxic texts, the most telling first.
+
+    Words that one explains no longer speak for another.
+    """
     na, nb = len(toxic), len(other)
     inside, outside = (Counter() for _ in "ab")
     for docs, total in ((toxic, inside), (other, outside)):
@@ -247,19 +250,20 @@ def find_landmarks(toxic: list[Counter], other: list[Counter]) -> list[str]:
     def least(w: str) -> int:
         return 3 if _SOLID.match(w) else MIN_LETTERS + 1
 
-    def beginnings(w: str, total: int, into: Counter):
+    def beginnings(w: str):
         m = OPEN + w + CLOSE
-        for k in range(least(w), min(len(m), 10) + 1):
-            into[m[:k]] += total
+        return (m[:k] for k in range(least(w), min(len(m), 10) + 1))
 
-    a, b = Counter(), Counter()
+    a: Counter = Counter()
     for w, c in inside.items():
-        beginnings(w, c, a)
+        for g in beginnings(w):
+            a[g] += c
     a = Counter({g: c for g, c in a.items() if c >= MIN_SUPPORT})
-    of_b = Counter()
+    b = Counter(dict.fromkeys(a, 0))
     for w, c in outside.items():
-        beginnings(w, c, of_b)
-    b = Counter({g: of_b[g] for g in a})
+        for g in beginnings(w):
+            if g in b:
+                b[g] += c
     told = np.array([a[g] for g in a]), np.array([b[g] for g in a])
     if not a:
         return []
@@ -295,14 +299,13 @@ def find_landmarks(toxic: list[Counter], other: list[Counter]) -> list[str]:
         found.append(long)
         gone.update(words)
         for w in words:
-            for k in range(least(w), min(len(marked[w]), 10) + 1):
-                a[marked[w][:k]] -= inside[w]
+            for x in beginnings(w):
+                a[x] -= inside[w]
         for w, c in outside.items():
-            m = OPEN + w + CLOSE
-            if m.startswith(g):
-                for k in range(least(w), min(len(m), 10) + 1):
-                    if m[:k] in b:
-                        b[m[:k]] -= c
+            if (OPEN + w + CLOSE).startswith(g):
+                for x in beginnings(w):
+                    if x in b:
+                        b[x] -= c
     return found
 
 
@@ -506,21 +509,14 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     return Model.loads(blob[0]) if blob else Model()
 
 
-_MODELS: dict[int, Model] = {}
-
-
 def _scorer(model: Model, at_text: int, names: list[str]):
     blob = model.dumps()
-    key = zlib.crc32(blob)
 
     def run(batches):
-        if key not in _MODELS:  # a worker keeps the words it has seen
-            _MODELS.clear()
-            _MODELS[key] = Model.loads(blob)
-        known = _MODELS[key]
+        known = Model.loads(blob)
         for b in batches:
-            for at in range(0, max(1, b.num_rows), 1000):
-                part = b.slice(at, 1000)
+            for at in range(0, max(1, b.num_rows), 500):
+                part = b.slice(at, 500)
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(known.scores(part.column(at_text).to_pylist()), pa.float64())], names=names)
 
     return run
