@@ -78,6 +78,50 @@ def test_lexer_stays_linear(text):
     assert time.process_time() - began < 5
 
 
+@pytest.mark.parametrize(
+    "text, want",
+    [
+        ('bearer = "abcDEF123456xyz789"', ["abcDEF123456xyz789"]), ('credentials = "blue horse 99 battery"', ["blue horse 99 battery"]), ("DB_PASSWORD: correcthorsebatterystaple", ["correcthorsebatterystaple"]),
+        ('auth_key = LATER\nLATER = "q8R3k29dQx7L"', ["q8R3k29dQx7L"]), ('A = "q8R3k29dQx7L"\nB = A\nC = B\npassword = C', ["q8R3k29dQx7L"]), ('password = conf.KEYRING\nKEYRING = "q8R3k29dQx7L"', ["q8R3k29dQx7L"]),
+        ("db:\n  password:\n    q8R3k29dQx7L\n  name: bob", ["q8R3k29dQx7L"]), ("api_key: |\n  q8R3k29dQx7L\nother: x", ["q8R3k29dQx7L"]), ('secret = """q8R3\nk29dQx7L"""', ["q8R3\nk29dQx7L"]), ("secret = rb'q8R3k29dQx7L'", ["q8R3k29dQx7L"]),
+        ('set_password("q8R3k29dQx7L")', ["q8R3k29dQx7L"]), ('setenv("API_KEY", "q8R3k29dQx7L")', ["q8R3k29dQx7L"]), ("os.environ['API_TOKEN'] = 'q8R3k29dQx7L'", ["q8R3k29dQx7L"]), ('token = ("q8R3"\n   "k29dQx7L")', ['q8R3"\n   "k29dQx7L']),
+        ("const secret = `q8R3k29dQx7L`;", ["q8R3k29dQx7L"]), ("# password = q8R3k29dQx7L", ["q8R3k29dQx7L"]), ("login(user=u, password='q8R3k29dQx7L')", ["q8R3k29dQx7L"]), ('f(password=f"q8R3k29dQx7L{x}")', ["q8R3k29dQx7L{x}"]),
+        ('message = "please enter your password"', []), ('password = "please enter your password"', []), ('color = "q8R3k29dQx7L"', []), ("password = password", []), ("a = b\nb = a\nsecret = a", []), ("password = get_password()", []), ("token(", []), ('the secret: a garden', []),
+    ],
+)
+def test_lexer_cases(text, want):
+    assert [text[a:b] for a, b in secrets.lexed_spans(text)] == want
+
+
+def test_lexer_finds_what_was_written():
+    """Random programs whose literals and names are known as they are written."""
+    import random
+
+    rng = random.Random(23)
+    for _ in range(200):
+        out, want, late = "", set(), []
+        for k in range(rng.randrange(1, 9)):
+            sensitive = rng.random() < 0.5
+            name = rng.choice(["db_password", "apiKey", "clientSecret", "AUTH_TOKEN"]) if sensitive else rng.choice(["colour", "host_name", "path", "width"])
+            value = "".join(rng.choice("abcdefXYZ0189") for _ in range(14)) + "9q"
+            form = rng.randrange(8)
+            before = [f'{name}{k} = "', f"  {name}{k}: '", f"export {name}{k}=", f'{{"{name}": "', f"{name}{k}:\n    ", f'put("{name}", "', f"{name}('", f"const c{k}x = '"][form]
+            after = ['"', "'", "", '"}', "", '")', "')", "'"][form]
+            out += before
+            if sensitive or form == 7:
+                place = (len(out), len(out) + len(value))
+            out += value + after + "\n"
+            if form == 7:
+                late.append((f"c{k}x", place, name, sensitive))
+            elif sensitive:
+                want.add(place)
+        for ref, place, name, sensitive in late:
+            out += f"{name} = {ref};\n"
+            if sensitive:
+                want.add(place)
+        assert secrets.lexed_spans(out) == sorted(want), out
+
+
 @pytest.fixture(scope="module")
 def encode():
     import public_tokenizers
