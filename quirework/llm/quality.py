@@ -5,12 +5,15 @@ maximisation over the counts of vote patterns of the whole corpus (at most 3**9
 its size) estimates each heuristic's accuracy and the share of good texts; the posteriors are soft
 labels on which a linear scorer over hashed word shapes is trained.  No given label is used.
 
-The scorer is trained on at most SAMPLE documents by hash order; votes and scores read every row
-and whole text.
+Texts are read once: votes and features of every row and whole text are written as a narrow table,
+from which patterns are counted, the sample is taken and scores are computed.  The scorer is trained
+on at most SAMPLE documents by hash order of their identifiers.
 
 Defined cases: null text counts as empty; an empty text has no votes but the one on length and
-its features are all zero; an empty table gives an empty result; repeated rows are scored alike;
-extra columns are ignored.
+its features are all zero; a very long text is voted on and scored as a whole, by bounds that fall
+steadily with its length; a tie of votes counts as bad at the start of the estimation; an empty table
+gives an empty result; repeated rows are scored alike, and count once in the sample; extra columns
+are ignored.
 """
 
 from __future__ import annotations
@@ -25,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_or_empty
+from .common import materialise, text_or_empty
 
 SAMPLE, BUCKETS, RIDGE = 4000, 1024, 2e-3
 LABELLERS = ("symbols", "variety", "capitals", "bars", "shouts", "function_words", "word_length", "sentences", "repeats")
@@ -51,7 +54,7 @@ def votes(text: str | None) -> tuple[int, ...]:
     vote = lambda bad, good: 0 if bad else 1 if good else -1
     return (
         vote(symbols > 0.1, symbols < 0.01),
-        vote(n >= 30 and variety < 0.25 * min(1, 200 / n + 0.3), n >= 30 and variety > 0.3) if n < 3000 else vote(variety < 0.05, False),
+        vote(n >= 30 and variety < 0.25 * min(1, (100 / n) ** 0.4), n >= 30 and variety > 0.3 * min(1, (400 / n) ** 0.25)),
         vote(upper > 0.5 * (upper + lower + 1), upper < 0.15 * (upper + lower + 1)),
         vote(bars > 0.1, bars == 0),
         vote(shouts > 0.2, shouts < 0.01),
@@ -168,7 +171,7 @@ def fit_scorer(rows: list[tuple[list[int], list[float], float]]) -> np.ndarray:
         return w
     x = np.zeros((len(rows), BUCKETS + 1), np.float32)
     for r, (at, v, _) in enumerate(rows):
-        x[r, at] = v
+        x[r, list(at)] = v
     x[:, -1] = 1
     live = np.flatnonzero((x != 0).sum(0) >= min(3, len(rows)))
     x, y = np.ascontiguousarray(x[:, live]), np.array([q for *_, q in rows], np.float32)
@@ -189,44 +192,49 @@ def fit_scorer(rows: list[tuple[list[int], list[float], float]]) -> np.ndarray:
     return w
 
 
-def _votes(batches):
-    for b in batches:
-        n = Counter(pattern(votes(t)) for t in b.column(0).to_pylist())
-        yield pa.RecordBatch.from_arrays([pa.array(list(n), pa.string()), pa.array(list(n.values()), pa.int64())], names=["pattern", "n"])
+_READ = pa.schema([("doc_id", pa.int64()), ("pattern", pa.string()), ("at", pa.list_(pa.int16())), ("v", pa.list_(pa.float32()))])
 
 
-def _sampled(batches):
+def _read(batches):
     f = Features()
     for b in batches:
-        rows = [(pattern(votes(t)), *f.of(t)) for t in b.column(0).to_pylist()]
-        yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.list_(pa.int64())), pa.array([r[2] for r in rows], pa.list_(pa.float64()))], names=["pattern", "at", "v"])
+        rows = [(pattern(votes(t)), *f.of(t)) for t in b.column(1).to_pylist()]
+        cols = [pa.array([r[k] for r in rows], _READ.field(k + 1).type) for k in range(3)]
+        yield pa.RecordBatch.from_arrays([b.column(0), *cols], schema=_READ)
+
+
+def read(docs: DataFrame) -> DataFrame:
+    """doc_id, pattern, at, v: the votes, and the features that are not zero, of every row."""
+    texts = docs.select("doc_id", text_or_empty("text").alias("text"))
+    return materialise(texts.mapInArrow(_read, "doc_id long, pattern string, at array<short>, v array<float>"), "features")
 
 
-def train(docs: DataFrame, sample: int = SAMPLE) -> tuple[Accuracies, np.ndarray]:
-    text = text_or_empty("text").alias("text")
-    n = docs.select(text).mapInArrow(_votes, "pattern string, n long").groupBy("pattern").agg(F.sum("n").alias("n"))
+def train(features: DataFrame, sample: int = SAMPLE) -> tuple[Accuracies, np.ndarray]:
+    n = features.groupBy("pattern").agg(F.count("*").alias("n"))
     model = Accuracies({r[0]: r[1] for r in n.collect()})  # at most 3**9 rows
-    ids = docs.where("doc_id is not null").select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    rows = docs.select("doc_id", text).join(F.broadcast(ids), "doc_id", "left_semi").select("text").mapInArrow(_sampled, "pattern string, at array<long>, v array<double>").collect()
-    return model, fit_scorer([(r[1], r[2], model.posterior(r[0])) for r in sorted(rows)])
+    ids = features.where("doc_id is not null").select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+    # one row of each of these identifiers, so at most ``sample``
+    rows = features.join(F.broadcast(ids), "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct("pattern", "at", "v")).alias("r")).collect()
+    rows = sorted((r["r"] for r in rows), key=tuple)
+    return model, fit_scorer([(r["at"], r["v"], model.posterior(r["pattern"])) for r in rows])
 
 
 def score(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """One row per document: doc_id, votes, posterior, score, predicted, kept."""
-    model, w = train(docs, sample)
+    features = read(docs)
+    model, w = train(features, sample)
 
     def run(batches):
-        f, post = Features(), {}
+        post: dict[str, float] = {}
         for b in batches:
-            out = []
-            for t in b.column(1).to_pylist():
-                p = pattern(votes(t))
-                if p not in post:
-                    post[p] = model.posterior(p)
-                at, v = f.of(t)
-                out.append((p, post[p], float(1 / (1 + np.exp(-np.clip(w[at] @ v + w[-1], -30, 30))))))
-            cols = list(zip(*out)) if out else [[]] * 3
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(cols[0], pa.string()), pa.array(cols[1], pa.float64()), pa.array(cols[2], pa.float64())], names=["doc_id", "votes", "posterior", "score"])
-
-    s = docs.select("doc_id", text_or_empty("text").alias("text")).mapInArrow(run, "doc_id long, votes string, posterior double, score double")
+            patterns = b.column(1).to_pylist()
+            post |= {p: model.posterior(p) for p in {*patterns} - post.keys()}
+            at, v = b.column(2), b.column(3)
+            each = np.concatenate(([0.0], np.cumsum(w[at.flatten().to_numpy()] * v.flatten().to_numpy().astype(np.float64))))
+            ends = np.concatenate(([0], np.cumsum(np.fromiter((len(x) for x in at), np.int64, len(at)))))
+            m = each[ends[1:]] - each[ends[:-1]] + w[-1]
+            scores = 1 / (1 + np.exp(-np.clip(m, -30, 30)))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([post[p] for p in patterns], pa.float64()), pa.array(scores, pa.float64())], names=["doc_id", "votes", "posterior", "score"])
+
+    s = features.mapInArrow(run, "doc_id long, votes string, posterior double, score double")
     return s.withColumn("predicted", (F.col("score") >= 0.5).cast("int")).withColumn("kept", F.col("score") >= 0.5)

@@ -391,6 +391,39 @@ def test_quality_recovers_planted_accuracies():
     assert all(abs(a - t) < 0.02 for a, t in zip(m.accuracies().values(), truth))
 
 
+def test_quality_votes_posteriors_and_scores_match_brute_force(spark):
+    """Expectation-maximisation, one document and one vote at a time in plain Python, and scores from dense features."""
+    import math
+
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = [(r.doc_id, r.text) for r in docs.collect()] + [(10_000, "word " * 30_000), (10_001, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r for r in quality.score(df).collect()}
+    patterns = [quality.pattern(quality.votes(t)) for _, t in rows]
+    q = [0.9 if p.count("1") >= 2 * p.count("0") else 0.1 for p in patterns]
+    for _ in range(200):
+        prior = min(0.98, max(0.02, sum(q) / len(q)))
+        share = {}
+        for good in (True, False):
+            for j in range(9):
+                n = {x: 0.5 + sum((a if good else 1 - a) for a, p in zip(q, patterns) if p[j] == x) for x in "01-"}
+                share[good, j] = {x: c / sum(n.values()) for x, c in n.items()}
+        new = []
+        for p in patterns:
+            m = math.log(prior / (1 - prior)) + sum(math.log(share[True, j][x] / share[False, j][x]) for j, x in enumerate(p))
+            new.append(1 / (1 + math.exp(-max(-30, min(30, m)))))
+        done = max(abs(a - b) for a, b in zip(q, new)) < 1e-7
+        if done:
+            break
+        q = new
+    features = quality.read(df)
+    _, w = quality.train(features)
+    for (d, t), p, a in zip(rows, patterns, new):
+        assert got[d].votes == p and abs(got[d].posterior - a) < 1e-6
+        m = w[-1] + sum(w[k] * x for k, x in zip(*quality.Features().of(t)))
+        assert abs(got[d].score - 1 / (1 + math.exp(-max(-30, min(30, m))))) < 1e-4, d
+
+
 def test_quality_query(spark):
     good = "This is the story of a small house and the people who lived in it for many years. They were kind to all of us. "
     rows = [(i, good * (1 + i % 3) + f"Number {i} of it was the last.") for i in range(80)] + [(100 + i, f"#{i} $$$ %%% ||| CLICK!! BUY!! <<>> " * 6) for i in range(30)]
