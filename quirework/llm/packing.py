@@ -8,7 +8,9 @@ pieces costs as much as that of 1e4.  Each piece then finds its place by its ran
 its length, which is counted in salted buckets.
 
 Defined cases: null text counts as empty and gives the end token alone; repeated rows are packed
-each for itself; extra columns are ignored; an empty table gives an empty result.
+each for itself; a very long text is cut into pieces of the capacity, the first one shorter; pieces
+of one length are dealt by (doc_id, piece, ids_crc32), and which of fully repeated ones goes where
+doesn't matter; extra columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialise, text_or_empty
+from .common import BROADCAST_ROWS, materialise, text_or_empty
 
 CAPACITY, END_ID = 1024, 2
 
@@ -63,10 +65,10 @@ def cut(n: int, capacity: int = CAPACITY) -> list[tuple[int, int]]:
 _PIECES = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())])
 
 
-def pieces(docs: DataFrame, capacity: int = CAPACITY, end_id: int = END_ID, vocabulary: str | None = None, added_tokens: bool = False) -> DataFrame:
+def pieces(docs: DataFrame, capacity: int = CAPACITY, end_id: int = END_ID, vocabulary: str | None = None, added_tokens: bool = True) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32 of every document's ids and the end id.
 
-    With added_tokens the vocabulary's added tokens are read in texts, as tokenizers does; else they are text.
+    The vocabulary's added tokens are read in texts, as tokenizers does; without added_tokens they are text.
     """
     path = vocabulary or default_vocabulary()
 
@@ -153,7 +155,7 @@ def best_fit(histogram: dict[int, int], capacity: int = CAPACITY) -> tuple[list[
     return out, made
 
 
-def pack(docs: DataFrame, capacity: int = CAPACITY, end_id: int = END_ID, vocabulary: str | None = None, added_tokens: bool = False) -> DataFrame:
+def pack(docs: DataFrame, capacity: int = CAPACITY, end_id: int = END_ID, vocabulary: str | None = None, added_tokens: bool = True) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
     spark = docs.sparkSession
     p = materialise(pieces(docs, capacity, end_id, vocabulary, added_tokens), "pieces")
@@ -162,7 +164,7 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, end_id: int = END_ID, vocabu
     counts = p.groupBy("length", "bucket").agg(F.count("*").alias("n"))
     before = F.sum("n").over(Window.partitionBy("length").orderBy("bucket")) - F.col("n")
     counts = materialise(counts.select("length", "bucket", "n", before.alias("before")), "counts")
-    # at most `capacity` rows, so is the table of placements by the packing's own bound
+    # at most `capacity` rows
     histogram = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     placed, _ = best_fit(histogram, capacity)
     table = spark.createDataFrame(placed or [(0, 0, 0, 1, 0, 0)], "l long, rank0 long, n long, per long, seq0 long, off0 long")
@@ -171,7 +173,8 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, end_id: int = END_ID, vocabu
     ranked = ranked.join(counts.drop("n").hint("merge"), ["length", "bucket"]).withColumn("rank", F.col("rn") + F.col("before"))
     step = F.col("rank") - F.col("rank0")
     hit = (F.col("length") == F.col("l")) & (step >= 0) & (step < F.col("n"))
-    return ranked.join(F.broadcast(table), hit).select(
+    table = F.broadcast(table) if len(placed) <= BROADCAST_ROWS else table
+    return ranked.join(table, hit).select(
         "doc_id", "piece", "start", "length", "ids_crc32",
         (F.col("seq0") + F.floor(step / F.col("per"))).cast("long").alias("sequence_id"),
         (F.col("off0") + (step % F.col("per")) * F.col("length")).cast("long").alias("offset"),
