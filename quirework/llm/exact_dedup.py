@@ -20,8 +20,14 @@ from pyspark.sql import functions as F
 
 from .common import BLANKS, keep_one, materialise, text_or_empty
 
-#: A chunk ends where these character classes meet, after 256 characters at least and 4096 at most.
-CHUNK = r"(?s).{256,4096}?(?:(?<=[bdgkpvwzäéíóßBDGKPVWZ0-4][aeiouüèñ][nrstmcNRST5-9])|\z)|.{1,4096}"
+#: Characters that stand for one in 30 to 60 of texts without an alphabet of vowels and consonants: some letters of small scripts, and even shares of large ones.
+_MARKS = "\u05d9\u05e8\u0627\u0631\u0930\u0924\u0e19\u0e23\u306e\u3044\u30f3\u30eb" + "".join(
+    f"{chr(first)}-{chr(first + size - 1)}" for start, end, step, size in ((0x3400, 0xA000, 0x400, 0x18), (0xAC00, 0xD7A4, 0x400, 0x18), (0x20000, 0x32000, 0x2000, 0xC0)) for first in range(start + 0x40, end, step)
+)
+#: A chunk ends where such characters meet, after 256 characters at least and 4096 at most.
+_LATIN = "[bdgkpvwzäéíóßBDGKPVWZ0-4][aeiouüèñAEIOU][nrstmcNRST5-9]"
+_OTHERS = ("[бвгдзклпБВГДЗКЛП][аеиоуАЕИОУ][нрстмНРСТМ]", "[βγδκπθ][αεηιοω][νρστμ]", f"[{_MARKS}]")
+CHUNK = rf"(?s).{{256,4096}}?(?:(?<={_LATIN})|(?<=[^\x00-\u036f])(?:{'|'.join(f'(?<={x})' for x in _OTHERS)})|\z)|.{{1,4096}}"
 
 
 def normalised(c: str | Column = "text") -> Column:

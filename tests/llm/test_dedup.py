@@ -64,6 +64,16 @@ def test_chunks_are_content_defined(spark):
     assert len(set(a.c) & set(b.c)) > 0.8 * len(a.c)
 
 
+@pytest.mark.parametrize("letters", ["БВГДЗКЛПабвгдезийклмнопрстухцыья", "".join(map(chr, range(0x4E00, 0x9000))), "あいうえおかきくけこのはるんルン", "ABCDEFGHIJKLMNOPRSTUVWZ", "0123456789abcdef"])
+def test_chunks_are_content_defined_in_any_script(spark, letters):
+    import random
+
+    text = "".join(random.Random(4).choices(letters, k=40_000))
+    a, b = spark.createDataFrame([(text,), ("xyz" + text,)], "t string").select(exact_dedup.chunks(F.col("t")).alias("c")).collect()
+    assert "".join(a.c) == text and "".join(b.c) == "xyz" + text
+    assert len(set(a.c) & set(b.c)) > 0.8 * len(a.c) and len(text) / len(a.c) < 800
+
+
 def test_exact_deduplicate_keeps_columns(spark):
     docs = frame(spark, ROWS)
     kept = exact_dedup.deduplicate(docs)
