@@ -51,6 +51,15 @@ def backend(name: str):
     return getattr(importlib.import_module(module), function)
 
 
+def full(path: str) -> str:
+    """A path as it is if it names its store, else from the root."""
+    return path if "://" in path else os.path.abspath(path)
+
+
+def uri(path: str) -> str:
+    return path if "://" in path else "file://" + os.path.abspath(path)
+
+
 def run(argv: list[str] | None = None, spark: SparkSession | None = None) -> list[str]:
     """Runs one command; gives the paths of list-fail, else []."""
     a = vars(parser().parse_args(argv))
@@ -60,46 +69,58 @@ def run(argv: list[str] | None = None, spark: SparkSession | None = None) -> lis
         pointer = a.get(f"{name}_from")
         return (pointer and files.read_pointer(spark, pointer)) or a.get(name) or default
 
-    base = (option("base_dir") or ".").rstrip("/")
-    book = option("book_name") or os.path.basename(os.path.abspath(base))
-    to = lambda *p: os.path.abspath(os.path.join(base, *p))
-    one = lambda df, path: export(df.withColumn("_n", F.lit(os.path.basename(path))), "file://" + (os.path.dirname(os.path.abspath(path)) or "/"), "_n")
-    many = lambda df, path: export(df, "file://" + os.path.abspath(path))
+    base = (option("base_dir") or ".").rstrip("/") or "/"
+    if a["command"] == "ocr" and option("book_name"):
+        base = os.path.join(base, option("book_name"))
+    book = option("book_name") or os.path.basename(full(base))
+    to = lambda *p: full(os.path.join(base, *p))
+    one = lambda df, path: export(df.withColumn("_n", F.lit(os.path.basename(path))), uri(os.path.dirname(full(path))), "_n")
+    many = lambda df, path: export(df, uri(path))
 
     if a["command"] == "convert":
         pdf = spark.read.format("binaryFile").load(a["input_pdf"]).select(F.lit(book).alias("book"), "content")
         pages = recognise.render(pdf, backend(a["backend"]), a["dpi"], a["start"], a["format"], a["max_dim"])
-        export(pages.withColumn("file_name", F.concat(F.col("page_no").cast("string"), F.lit("."), "ext")), "file://" + os.path.abspath(a["output_dir"]), content="content")
+        export(pages.withColumn("file_name", F.concat(F.col("page_no").cast("string"), F.lit("."), "ext")), uri(a["output_dir"]), content="content")
     elif a["command"] == "ocr":
         source, out = option("input_dir", to("images")), option("output_dir", to("ocr-result"))
         images = files.read_images(spark, option("input_file") or source).withColumn("book", F.lit(book))
         if not option("input_file"):
             start, end = a["start"], a["end"]
             if start is None and end is None:
-                done = files.list_files(spark, out).select(files.page_number(F.col("file_name")).alias("page_no"))
+                done = files.list_files(spark, out).where(F.col("file_name").rlike(r"^[0-9]+\.md$")).select(files.page_number(F.col("file_name")).alias("page_no"))
                 start, end = status.resume_range(done, images).first()
             images = status.in_range(images, start, end)
         pages = recognise.recognise(images, backend(a["backend"]), files.load_prompt(spark, option("prompt_file")), a["batch_size"])
         pages = pages.persist()
-        if option("output_file"):
-            one(page_files(pages), option("output_file"))
+        if option("input_file") and option("output_file"):
+            # the marker of a refusal goes beside the others all the same
+            one(page_files(pages.where("status = 'ok'")), option("output_file"))
+            many(page_files(pages.where("status = 'fail'")), out)
         else:
             many(page_files(pages), out)
-        bad = pages.where(~F.col("status").isin("ok", "fail")).count()
+        n = {r[0]: r[1] for r in pages.groupBy("status").count().collect()}
         pages.unpersist()
+        if total := sum(n.values()):
+            done = n.get("ok", 0) + n.get("fail", 0)
+            print(spark.range(1).select(status.progress_bar(F.lit(done), F.lit(total))).first()[0])
+        if n.get("fail"):
+            print(f"failed pages: {n['fail']}")
+        bad = sum(n.values()) - n.get("ok", 0) - n.get("fail", 0)
         if bad:
             raise SystemExit(f"{bad} pages have no text")
     elif a["command"] == "list-fail":
-        where = option("ocr_dir", to("ocr-result")).rstrip("/")
-        root = None if a["basename_only"] else os.path.abspath(base)
-        pages = status.failed_pages(files.list_files(spark, where)).orderBy("page_no")
-        found = [r[0] for r in pages.select(status.image_path(F.col("page_no"), None if a["basename_only"] else "图片", root)).toLocalIterator()]
+        # the book is the directory that holds the results, wherever the base is
+        where = full(option("ocr_dir", to("ocr-result"))).rstrip("/")
+        root = None if a["basename_only"] else os.path.basename(os.path.dirname(where))
+        pages = status.failed_pages(files.list_files(spark, where)).orderBy(order.number_key(F.col("digits")), "digits")
+        found = [r[0] for r in pages.select(status.image_path(F.col("digits"), None if a["basename_only"] else "图片", root)).toLocalIterator()]
         print(*found, sep="\n")
         return found
     elif a["command"] == "merge-rough":
         pages = files.read_texts(spark, option("input_dir", to("ocr-result"))).withColumn("book", F.lit(book)).withColumn("key", order.natural_key(F.col("file_name")))
         out = option("output_file") or os.path.join(option("output_dir", to("merge-result")), files.ROUGH)
         one(merge.rough_merge(pages, "book", ["key", "file_name"]), out)
+        print(f"merged {pages.count()} files into {out}")
     elif a["command"] == "split":
         path = option("input_file", to("merge-result", files.ROUGH))
         doc = spark.read.format("binaryFile").load(path).select(F.lit(book).alias("book"), F.decode("content", "UTF-8").alias("text"))
@@ -111,6 +132,7 @@ def run(argv: list[str] | None = None, spark: SparkSession | None = None) -> lis
         for r in asked.join(texts, "file_name", "left_anti").toLocalIterator():
             print(f"not found: {r[0]}")
         many(layout.typeset(texts.join(asked, "file_name", "left_semi"), ["book"]), option("output_dir", to("typeset-result")))
+        print(f"files asked for: {asked.count()}")
     else:
         texts = files.numbered(files.read_texts(spark, option("input_dir", to("typeset-result"))).withColumn("book", F.lit(book)))
         one(merge.final_merge(texts, "book", ["number", "file_name"]), option("output_file", to(f"{book}.md")))

@@ -6,6 +6,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: What Python strips: Java's own classes miss some of these.
+BLANKS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+#: The same as a class of patterns.
 W = r"[\t\n\x0B\f\r\x1c-\x1f \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 #: Where Python's splitlines breaks.
 LB = r"\r\n|[\n\x0B\f\r\x1c-\x1e\x85\u2028\u2029]"
@@ -17,11 +19,11 @@ def _c(c: str | Column) -> Column:
 
 
 def strip(c: str | Column) -> Column:
-    return F.regexp_replace(_c(c), f"^{W}+|{W}+$", "")
+    return F.btrim(_c(c), F.lit(BLANKS))
 
 
 def rstrip(c: str | Column) -> Column:
-    return F.regexp_replace(_c(c), f"{W}+$", "")
+    return F.rtrim(_c(c), F.lit(BLANKS))
 
 
 def newlines(c: str | Column) -> Column:

@@ -44,11 +44,18 @@ def collapse_blanks(lines: DataFrame, key: list[str], pos: str = "line_no") -> D
     return x.withColumn("_b", F.lag("line").over(w)).where("not (line = '' and coalesce(_b, 'x') = '')").drop("_b")
 
 
+def page_lines(pages: DataFrame, book: str, order: list[str], text: str = "text") -> DataFrame:
+    """book, at (page rank and line), line: stripped pages that are not empty, and a blank line after each."""
+    p = pages.select(book, *order, strip(newlines(text)).alias("_t")).where("_t <> ''")
+    p = p.select(book, F.row_number().over(Window.partitionBy(book).orderBy(*order)).alias("_p"), F.concat("_t", F.lit("\n")).alias("_t"))
+    return p.select(book, "_p", F.posexplode(split_lines("_t")).alias("_l", "line")).select(book, F.struct("_p", "_l").alias("at"), "line")
+
+
 def rough_merge(pages: DataFrame, book: str, order: list[str], text: str = "text") -> DataFrame:
-    """book, text: pages joined, headings deduplicated over the book, blanks collapsed."""
-    lines = to_lines(join_pages(pages, book, order, text), [book])
-    lines = collapse_blanks(dedupe_headings(lines, [book]), [book])
-    return lines.groupBy(book).agg(F.concat(strip(ordered_concat(["line_no"], "line", "\n")), F.lit("\n")).alias("text"))
+    """book, text: pages joined, headings deduplicated over the book, blanks collapsed; one string only at the end."""
+    lines = page_lines(pages, book, order, text)
+    lines = collapse_blanks(dedupe_headings(lines, [book], "at"), [book], "at")
+    return lines.groupBy(book).agg(F.concat(strip(ordered_concat(["at"], "line", "\n")), F.lit("\n")).alias("text"))
 
 
 def final_merge(chapters: DataFrame, book: str, order: list[str], text: str = "text") -> DataFrame:

@@ -6,16 +6,28 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def number_key(digits: Column) -> Column:
+    """Sortable key of a number of any size, given by its digits."""
+    d = F.ltrim(digits, F.lit("0"))
+    return F.struct(F.length(d).alias("size"), d.alias("digits"))
+
+
+def whole_number(digits: Column) -> Column:
+    """Digits as a long, the largest one for numbers beyond it; null without digits."""
+    d = F.nullif(digits, F.lit(""))
+    return F.when(d.isNotNull(), F.coalesce(d.try_cast("bigint"), F.lit(2**63 - 1).cast("bigint")))
+
+
 def natural_key(c: Column) -> Column:
     """Sortable key: text parts in lower case between numbers, numbers as numbers; null text sorts first."""
     parts = F.split(F.lower(c), "[0-9]+")
-    numbers = F.transform(F.regexp_extract_all(c, F.lit("[0-9]+"), F.lit(0)), lambda x: F.right(x, F.lit(38)).cast("decimal(38,0)"))
+    numbers = F.transform(F.regexp_extract_all(c, F.lit("[0-9]+"), F.lit(0)), number_key)
     return F.transform(F.arrays_zip(parts.alias("t"), numbers.alias("i")), lambda z: F.struct(z["t"].alias("t"), z["i"].alias("i")))
 
 
 def prefix_number(name: Column, default: int = 999) -> Column:
     """The number before the first dot, or the default: unnumbered names come after 998."""
-    return F.coalesce(F.nullif(F.regexp_extract(name, r"^(\d+)\.", 1), F.lit("")).cast("bigint"), F.lit(default).cast("bigint"))
+    return F.coalesce(whole_number(F.regexp_extract(name, r"^(\d+)\.", 1)), F.lit(default).cast("bigint"))
 
 
 def contiguous_max(pages: DataFrame, number: str, keys: list[str] | None = None) -> DataFrame:
@@ -34,8 +46,9 @@ def contiguous_max(pages: DataFrame, number: str, keys: list[str] | None = None)
 
 
 def first_match(files: DataFrame, requested: DataFrame, name: str = "file_name") -> DataFrame:
-    """For each requested idx, the first file by name that starts with it and a dot."""
-    numbered = files.select(F.col(name).alias("file_name"), F.nullif(F.regexp_extract(name, r"^(\d+)\.", 1), F.lit("")).cast("bigint").alias("idx")).where("idx is not null")
+    """For each requested idx, the first file by name that starts with it, as it is written, and a dot."""
+    digits = F.regexp_extract(name, r"^(0|[1-9]\d*)\.", 1)
+    numbered = files.select(F.col(name).alias("file_name"), F.nullif(digits, F.lit("")).try_cast("bigint").alias("idx")).where("idx is not null")
     first = numbered.groupBy("idx").agg(F.min("file_name").alias("file_name"))
     return requested.join(first, "idx")
 

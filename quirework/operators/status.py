@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import strip
-from .order import contiguous_max
+from .order import contiguous_max, whole_number
 
 FALLBACK_PAGES, ATTEMPTS = 50, 5
 
@@ -60,12 +60,13 @@ def page_status(images: DataFrame, texts: DataFrame, failed: DataFrame | None =
 
 
 def failed_pages(files: DataFrame, name: str = "file_name") -> DataFrame:
-    """page_no of every <n>.fail.md."""
-    return files.where(F.col(name).rlike(r"^\d+\.fail\.md$")).select(F.regexp_extract(name, r"^(\d+)", 1).cast("bigint").alias("page_no"))
+    """page_no and digits (as in the name) of every <n>.fail.md."""
+    digits = F.regexp_extract(name, r"^(\d+)", 1)
+    return files.where(F.col(name).rlike(r"^\d+\.fail\.md$")).select(whole_number(digits).alias("page_no"), digits.alias("digits"))
 
 
-def image_path(page_no: Column, directory: str | None = "图片", root: str | None = None) -> Column:
-    return F.concat_ws("/", *[F.lit(x) for x in (root, directory) if x], F.concat(page_no.cast("string"), F.lit(".jpg")))
+def image_path(page: Column, directory: str | None = "图片", root: str | None = None) -> Column:
+    return F.concat_ws("/", *[F.lit(x) for x in (root, directory) if x], F.concat(page.cast("string"), F.lit(".jpg")))
 
 
 def resume_range(done: DataFrame, images: DataFrame, number: str = "page_no") -> DataFrame:
@@ -98,3 +99,11 @@ def first_success(attempts: DataFrame, keys: list[str], order: list[str], text:
 def progress(done: Column, total: Column) -> Column:
     """Percent with two digits, null without a total."""
     return F.when(total > 0, F.round(done * 100.0 / total, 2))
+
+
+def progress_bar(done: Column, total: Column, width: int = 50) -> Column:
+    """``[done/total][###---][percent%][RUNNING or OVER]``, null without a total."""
+    filled = F.least(F.bround(done * float(width) / total).cast("int"), F.lit(width))
+    bar = F.concat(F.repeat(F.lit("#"), filled), F.repeat(F.lit("-"), F.lit(width) - filled))
+    state = F.when(done >= total, "OVER").otherwise("RUNNING")
+    return F.when(total > 0, F.format_string("[%d/%d][%s][%.2f%%][%s]", done, total, bar, progress(done, total).cast("double"), state))

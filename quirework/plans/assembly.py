@@ -188,6 +188,10 @@ def progress(spark, sf_dir):
     return g.select("source", "done", "total", status.progress(F.col("done"), F.col("total")).alias("percent"))
 
 
+def progress_bar(spark, sf_dir):
+    return progress(spark, sf_dir).select("source", status.progress_bar(F.col("done"), F.col("total")).alias("bar"))
+
+
 def downscale_dims(spark, sf_dir):
     w, h = F.col("p_size") * 37, F.col("p_partkey") % 900 + 100
     w2, h2 = status.downscaled(w, h, 300)
@@ -200,7 +204,7 @@ QUERIES = {
         rough_merge, rough_document, final_merge, natural_sort_rank, heading_dedupe, blank_collapse, h1_split, safe_title, line_explode, line_features,
         layout_blocks, layout_reflow, layout_index_mode, typeset_chapters, cjk_char_run, cjk_word_repeat, note_flatten, contiguous_max, resume_range,
         pending_pages, index_range, page_status, status_counts, fail_listing, index_lookup, requested_files, mime_guess, response_text,
-        retry_first_success, batch_assign, progress, downscale_dims,
+        retry_first_success, batch_assign, progress, progress_bar, downscale_dims,
     )
 }
 
@@ -280,6 +284,10 @@ ORACLE_SQL = {
         f AS (SELECT user_id, min(CASE WHEN s IS NOT NULL THEN n END) AS attempt FROM v GROUP BY user_id)
         SELECT f.user_id, f.attempt, CASE WHEN v.s = 'ok' THEN v.event_type END AS text, coalesce(v.s, 'exhausted') AS status FROM f LEFT JOIN v ON f.user_id = v.user_id AND f.attempt = v.n""",
     "batch_assign": "SELECT lang, doc_id, (row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1) // 3 AS batch FROM documents",
+    "progress_bar": """
+        SELECT source, '[' || done || '/' || total || '][' || repeat('#', b) || repeat('-', 50 - b) || '][' || printf('%.2f', round(done * 100.0::DOUBLE / total, 2)) || '%][' || CASE WHEN done >= total THEN 'OVER' ELSE 'RUNNING' END || ']' AS bar
+        FROM (SELECT source, done, total, round_even(done * 50.0::DOUBLE / total, 0)::INT AS b
+              FROM (SELECT source, count(l.doc_id) AS done, count(*) AS total FROM documents d LEFT JOIN (SELECT DISTINCT doc_id FROM labels) l ON d.doc_id = l.doc_id GROUP BY source))""",
     "progress": "SELECT source, count(l.doc_id) AS done, count(*) AS total, round(count(l.doc_id) * 100.0::DOUBLE / count(*), 2) AS percent FROM documents d LEFT JOIN (SELECT DISTINCT doc_id FROM labels) l ON d.doc_id = l.doc_id GROUP BY source",
     "downscale_dims": """SELECT p_partkey, CASE WHEN s THEN w ELSE floor(w * f) END::BIGINT AS w, CASE WHEN s THEN h ELSE floor(h * f) END::BIGINT AS h, round(p_size * 6 / 72.0::DOUBLE, 6) AS scale
         FROM (SELECT *, w <= 300 AND h <= 300 AS s, least(300.0::DOUBLE / w, 300.0::DOUBLE / h) AS f FROM (SELECT p_partkey, p_size, p_size * 37 AS w, p_partkey % 900 + 100 AS h FROM part))""",

@@ -23,8 +23,8 @@ def export(files: DataFrame, directory: str, name: str = "file_name", content: s
 
 
 def page_files(pages: DataFrame) -> DataFrame:
-    """file_name, text of recognised pages: <n>.md, and an empty <n>.fail.md for refusals."""
+    """file_name, text of recognised pages: <stem>.md, and an empty <stem>.fail.md for refusals."""
     failed = F.col("status") == "fail"
     return pages.where(F.col("status").isin("ok", "fail")).select(
-        F.concat(F.col("page_no").cast("string"), F.when(failed, ".fail.md").otherwise(".md")).alias("file_name"), F.when(failed, "").otherwise(F.col("text")).alias("text")
+        F.concat("stem", F.when(failed, ".fail.md").otherwise(".md")).alias("file_name"), F.when(failed, "").otherwise(F.col("text")).alias("text")
     )

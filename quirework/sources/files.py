@@ -6,22 +6,32 @@ store that Spark opens) and contents are joined to it.
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import newlines, split_lines, strip
-from ..operators.order import first_match, prefix_number
+from ..operators.order import first_match, prefix_number, whole_number
 
-ROUGH, DEFAULT_PROMPT = "0.rough.md", "Transcribe all text of this page."
+ROUGH, DEFAULT_PROMPT, PROMPT_FILE = "0.rough.md", "Transcribe all text of this page.", "ocr_prompt.md"
 IMAGE_EXTENSIONS = ("jpg", "jpeg", "png", "bmp", "tif", "tiff", "webp")
 _LISTED = "path string, file_name string, size long"
 
 
+def _store(spark: SparkSession, name: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    return path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), path
+
+
+def _exists(spark: SparkSession, name: str) -> bool:
+    fs, path = _store(spark, name)
+    return fs.exists(path) and fs.getFileStatus(path).isFile()
+
+
 def list_files(spark: SparkSession, directory: str) -> DataFrame:
     """path, file_name, size of the files of a directory, empty ones too; a missing directory has none."""
-    jvm = spark._jvm
-    path = jvm.org.apache.hadoop.fs.Path(directory)
-    fs = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    fs, path = _store(spark, directory)
     rows = [(s.getPath().toString(), s.getPath().getName(), s.getLen()) for s in fs.listStatus(path) if s.isFile()] if fs.exists(path) else []
     return spark.createDataFrame(rows, _LISTED)
 
@@ -37,16 +47,16 @@ def read_texts(spark: SparkSession, directory: str, suffix: str = ".md") -> Data
 
 
 def read_images(spark: SparkSession, directory: str) -> DataFrame:
-    """page_no (null if the name is no number), ext, path, content; extensions in either case."""
-    glob = "*.{" + ",".join(x for e in IMAGE_EXTENSIONS for x in (e, e.upper())) + "}"
+    """page_no (null if the name is no number), stem, ext, path, content; extensions in any case."""
+    glob = "*.{" + ",".join("".join(f"[{c}{c.upper()}]" for c in e) for e in IMAGE_EXTENSIONS) + "}"
     name = F.element_at(F.split("path", "/"), -1)
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(directory)
-    return files.select(page_number(name).alias("page_no"), F.lower(F.regexp_extract(name, r"\.([^.]*)$", 1)).alias("ext"), "path", "content")
+    return files.select(page_number(name).alias("page_no"), F.regexp_replace(name, r"\.[^.]*$", "").alias("stem"), F.lower(F.regexp_extract(name, r"\.([^.]*)$", 1)).alias("ext"), "path", "content")
 
 
 def page_number(name: Column) -> Column:
     """The number that is a file's whole stem; only 0-9 count as digits."""
-    return F.nullif(F.regexp_extract(name, r"^([0-9]+)\.[^.]*$", 1), F.lit("")).cast("bigint")
+    return whole_number(F.regexp_extract(name, r"^([0-9]+)\.[^.]*$", 1))
 
 
 def first_line(text: str) -> str:
@@ -69,8 +79,10 @@ def read_list(spark: SparkSession, path: str) -> DataFrame:
     return lines.select(strip("line").alias("file_name")).where((F.col("file_name") != "") & (F.col("file_name") != ROUGH))
 
 
-def load_prompt(spark: SparkSession, path: str | None) -> str:
-    return (path and _read(spark, path).strip()) or DEFAULT_PROMPT
+def load_prompt(spark: SparkSession, path: str | None = None) -> str:
+    """The text of a prompt file, by default the one in the working directory; a missing or blank one gives the default prompt."""
+    path = path or os.path.abspath(PROMPT_FILE)
+    return (_read(spark, path).strip() if _exists(spark, path) else "") or DEFAULT_PROMPT
 
 
 def choose(files: DataFrame, names: list[str] | None = None, listed: DataFrame | None = None, indices: list[int] | None = None) -> DataFrame:
@@ -82,7 +94,7 @@ def choose(files: DataFrame, names: list[str] | None = None, listed: DataFrame |
     if indices:
         return first_match(every, spark.createDataFrame([(i,) for i in indices], "idx long")).select("file_name")
     if names:
-        return spark.createDataFrame([(n,) for n in names], "file_name string")
+        return spark.createDataFrame([(n,) for n in names if n != ROUGH], "file_name string")
     return every
 
 

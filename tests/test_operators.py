@@ -3,8 +3,9 @@ import re
 
 import pytest
 from pyspark.sql import functions as F
+from quirework import __main__ as commands
 from quirework.__main__ import run
-from quirework.functions.text import strip
+from quirework.functions.text import rstrip, strip
 from quirework.operators import cleanup, layout, merge, order, recognise, split, status
 from quirework.sinks.files import page_files
 from quirework.sources import files
@@ -146,7 +147,11 @@ def test_book_from_directory(spark, tmp_path):
         (base / "ocr-result" / f"{n}.md").write_text(t, newline="")
     assert files.read_texts(spark, str(base / "ocr-result")).count() == 5
     assert run(["list-fail", "--base-dir", str(base), "--basename-only"], spark) == ["5.jpg"]
-    assert run(["list-fail", "--base-dir", str(base)], spark) == [f"{base}/图片/5.jpg"]
+    assert run(["list-fail", "--base-dir", str(base)], spark) == ["bk/图片/5.jpg"]
+    assert run(["list-fail", "--base-dir", str(tmp_path), "--ocr-dir", str(base / "ocr-result")], spark) == ["bk/图片/5.jpg"]
+    (base / "ocr-result" / "05.fail.md").write_text(""), (base / "ocr-result" / f"{10**30}.fail.md").write_text("")
+    assert run(["list-fail", "--base-dir", str(base), "--basename-only"], spark) == ["05.jpg", "5.jpg", f"{10**30}.jpg"]
+    (base / "ocr-result" / "05.fail.md").unlink(), (base / "ocr-result" / f"{10**30}.fail.md").unlink()
     (tmp_path / "pointer").write_text(f"\n {base} \n")
     run(["merge-rough", "--base-dir-from", str(tmp_path / "pointer")], spark)
     rough = (base / "merge-result/0.rough.md").read_text()
@@ -158,6 +163,83 @@ def test_book_from_directory(spark, tmp_path):
     assert (base / "bk.md").read_text() == "# One\n\n  甲。\n\n丙丙乙。\n\n# Two\n\n  end。more。\n"
     run(["typeset", "--base-dir", str(base), "--file-indices", "2", "--output-dir", str(base / "other")], spark)
     assert os.listdir(base / "other") == ["2.Two.md"]
+    run(["typeset", "--base-dir", str(base), "--files", "0.rough.md", "1.One.md", "none.md", "--output-dir", str(base / "named")], spark)
+    assert os.listdir(base / "named") == ["1.One.md"]
+
+
+def test_ocr_command(spark, tmp_path, monkeypatch, capsys):
+    """Names that are no numbers, mixed case, resume by .md files alone, one file, a book below the base."""
+
+    def read_page(content, ext, prompt):
+        return {"candidates": [{"finishReason": "PROHIBITED_CONTENT"}]} if content == b"bad" else {"text": f"{content.decode()} {ext}"}
+
+    base = tmp_path / "bk"
+    (base / "images").mkdir(parents=True), (base / "ocr-result").mkdir()
+    for name, content in {"0.jpg": "a", "1.Jpg": "b", "2.png": "bad", "03.jpg": "d", "cover.jpg": "c", "back.jpg": "e", f"{10**25}.jpg": "z"}.items():
+        (base / "images" / name).write_text(content)
+    (base / "ocr-result" / "0.txt").write_text("no page")
+    monkeypatch.chdir(tmp_path)
+    monkeypatch.setattr(commands, "backend", lambda name: read_page)
+    backend = ["--backend", "any:function"]
+    out = lambda d: {p.name: p.read_text() for p in (base / d).iterdir() if p.suffix == ".md"}
+    run(["ocr", "--base-dir", str(tmp_path), "--book-name", "bk", *backend, "--start", "0", "--end", "3"], spark)
+    assert out("ocr-result") == {"0.md": "a jpg", "1.md": "b jpg", "2.fail.md": "", "03.md": "d jpg"}
+    assert "[4/4][" + "#" * 50 + "][100.00%][OVER]\nfailed pages: 1" in capsys.readouterr().out
+    run(["ocr", "--base-dir", str(base), *backend, "--start", "0", "--output-dir", str(base / "all")], spark)
+    assert set(out("all")) == {"0.md", "1.md", "2.fail.md", "03.md", "cover.md", "back.md", f"{10**25}.md"} and out("all")["cover.md"] == "c jpg"
+    run(["ocr", "--base-dir", str(base), *backend, "--input-file", str(base / "images/cover.jpg"), "--prompt-file", str(tmp_path / "none.md")], spark)
+    assert out("ocr-result")["cover.md"] == "c jpg"
+    run(["ocr", "--base-dir", str(base), *backend, "--input-file", str(base / "images/2.png"), "--output-file", str(base / "x.md"), "--output-dir", str(base / "one")], spark)
+    assert out("one") == {"2.fail.md": ""} and not (base / "x.md").exists()
+
+
+def test_prompts(spark, tmp_path, monkeypatch):
+    monkeypatch.chdir(tmp_path)
+    assert files.load_prompt(spark, str(tmp_path / "none.md")) == files.load_prompt(spark) == files.DEFAULT_PROMPT
+    (tmp_path / "ocr_prompt.md").write_text(" read \n")
+    assert files.load_prompt(spark) == "read"
+
+
+def test_finish_reasons_of_all_shapes():
+    from types import SimpleNamespace as N
+
+    class Dumped:
+        def __init__(self, method, data):
+            setattr(self, method, lambda: data)
+
+    shapes = [
+        {"finish_reason": "X"}, N(finish_reason="X"), {"candidates": [{"finishReason": "X"}]}, N(candidates=[N(finish_reason="X")]), N(candidates=[N(finishReason="X")]), N(candidates=[{"finish_reason": "X"}]),
+        Dumped("model_dump", {"candidates": [{"finishReason": "X"}]}), Dumped("to_dict", {"candidates": [{"finish_reason": "X"}]}),
+    ]
+    assert [recognise.finish_reason(s) for s in shapes] == ["X"] * len(shapes)
+    assert [recognise.finish_reason(s) for s in ({}, N(candidates=[]), N(candidates=None), Dumped("to_dict", None))] == [""] * 4
+    parts = [N(text="a"), N(text=None), {"text": "b"}]
+    assert recognise.answer_text(N(text=None, candidates=[N(content=N(parts=parts))])) == "a\nb"
+
+
+def test_long_numbers_and_names(spark):
+    names = [f"{10**40 + 1}.md", f"{10**40}.md", "7.md", "007.md"]
+    df = spark.createDataFrame([(n,) for n in names], "n string")
+    assert [r.n for r in df.orderBy(order.natural_key(F.col("n")), "n").collect()] == ["007.md", "7.md", f"{10**40}.md", f"{10**40 + 1}.md"]
+    assert one(spark, f"{10**20}.x.md", order.prefix_number) == 2**63 - 1
+    listed = spark.createDataFrame([("01.a.md",), ("1.b.md",), ("10.c.md",)], "file_name string")
+    assert [r.file_name for r in order.first_match(listed, spark.createDataFrame([(1,)], "idx long")).collect()] == ["1.b.md"]
+
+
+def test_progress_bar(spark):
+    rows = spark.createDataFrame([(1, 3), (3, 3), (5, 4), (0, 0), (1, 100)], "d int, t int").select(status.progress_bar(F.col("d"), F.col("t")).alias("x")).collect()
+    assert [r.x for r in rows] == [
+        "[1/3][" + "#" * 17 + "-" * 33 + "][33.33%][RUNNING]", "[3/3][" + "#" * 50 + "][100.00%][OVER]", "[5/4][" + "#" * 50 + "][125.00%][OVER]", None, "[1/100][" + "-" * 50 + "][1.00%][RUNNING]",
+    ]
+
+
+def test_strips_are_those_of_python(spark):
+    import random
+
+    rng = random.Random(2)
+    texts = ["".join(rng.choice("ab \t\n\x0b\x1c\x1f\x85\xa0\u2003\u3000\u200b") for _ in range(8)) for _ in range(300)]
+    got = spark.createDataFrame(list(enumerate(texts)), "i int, t string").select("i", strip("t").alias("s"), rstrip("t").alias("r")).collect()
+    assert {r.i: (r.s, r.r) for r in got} == {i: (t.strip(), t.rstrip()) for i, t in enumerate(texts)}
 
 
 def test_final_merge_keeps_empty_chapters(spark):
