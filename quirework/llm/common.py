@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,23 +13,46 @@ BLANKS = " \t\n\x0b\f\r"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share, as the session's spark.checkpoint.dir names it."""
+    """The folder all executors share, as the session's spark.checkpoint.dir names it.
+
+    Where it names none, a folder of the warehouse will do if that is shared, or if all runs on one machine.
+    """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+        remote = "://" in warehouse and not warehouse.startswith("file:")
+        if not remote and not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
         base = f"{warehouse}/_shared"
     return base.rstrip("/")
 
 
+def _store(spark: SparkSession, name: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    return path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), path
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write df as a Parquet table in the shared folder and read it back.
 
-    This cuts the lineage, survives lost executors, and gives the optimizer real sizes.
+    This cuts the lineage, survives lost executors, and gives the optimizer real sizes.  The table goes
+    when the application ends, or earlier by :func:`discard`.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/quirework-{uuid.uuid4().hex}/{name}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    folder = f"{shared_dir(spark)}/quirework-{uuid.uuid4().hex}"
+    df.write.parquet(f"{folder}/{name}")
+    fs, path = _store(spark, folder)
+    fs.deleteOnExit(path)
+    out = spark.read.schema(df.schema).parquet(f"{folder}/{name}")
+    out._folder = folder
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes written tables that nothing reads any more."""
+    for df in tables:
+        fs, path = _store(df.sparkSession, df._folder)
+        fs.delete(path, True)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -50,6 +74,17 @@ def small_side(df: DataFrame, name: str, most: int = BROADCAST_ROWS) -> DataFram
     return F.broadcast(df) if df.count() <= most else df
 
 
+#: So many rows of an Arrow batch are Python objects at a time.
+SLICE_ROWS = 500
+
+
+def sliced(batches, rows: int = SLICE_ROWS):
+    """Arrow batches as smaller ones, without copies; an empty one stays."""
+    for b in batches:
+        for at in range(0, max(1, b.num_rows), rows):
+            yield b.slice(at, rows)
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """A column name that df doesn't have, whatever extra columns it came with."""
     taken = {c.lower() for c in df.columns}
@@ -107,7 +142,8 @@ def connected_components(edges: DataFrame, name: str = "cc", max_rounds: int = 6
             .select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("e"))
             .select("e.u", "e.v").where("u <> v").distinct()
         )
-        cur = materialise(small, f"{name}-{i}")
+        last, cur = cur, materialise(small, f"{name}-{i}")
+        discard(last)
         now = cur.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == state:
             break

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import free_name, text_or_empty
+from .common import free_name, sliced, text_or_empty
 
 ERROR_SHARE, BLOCK_CHARS, CHUNK_CHARS = 20, 4_000_000, 16_000_000
 
@@ -161,7 +161,7 @@ def _finder(parts: list, at_text: int, at_items: int, chunk: int):
     def held(batches):
         """Lists of batches with about so many characters in them."""
         some, size = [], 0
-        for b in batches:
+        for b in sliced(batches):
             some.append(b)
             size += b.column(at_text).nbytes
             if size > chunk:
@@ -173,7 +173,7 @@ def _finder(parts: list, at_text: int, at_items: int, chunk: int):
     def run(batches):
         if len(parts) < 2:
             matcher = Matcher(parts[0].value if parts else [])
-            for b in batches:
+            for b in sliced(batches):
                 yield told(b, [matcher.find(t) for t in b.column(at_text).to_pylist()])
             return
         for some in held(batches):

@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import text_or_empty
+from .common import sliced, text_or_empty
 from .license_texts import TEMPLATES
 
 THRESHOLD = 0.75
@@ -115,7 +115,7 @@ def scan(docs: DataFrame, templates: dict[str, list[str]] = TEMPLATES, threshold
 
     def run(batches):
         scanner = Scanner(templates, threshold)
-        for b in batches:
+        for b in sliced(batches):
             rows = []
             for t in b.column(1).to_pylist():
                 m = scanner.matches(t)

@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import free_name, materialise, small_side, text_or_empty
+from .common import discard, free_name, materialise, small_side, text_or_empty
 
 MIN_WORDS, MIN_CHARS = 8, 24
 #: So many lines (four numbers each) whose text is to be fetched may be broadcast.
@@ -120,9 +120,10 @@ def decisions(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     doc = F.floor(F.col("first") / base).cast("decimal(20,0)")
     alive = alive.select(F.when(doc < F.expr(_NO_ID), doc.cast("long")).alias("doc_id"), F.pmod("first", base).cast("int").alias("line_no"), "h", "h2")
     told = materialise(fetched(docs, alive), "told")
-    every = materialise(variants(told), "variants")
-    met = every.groupBy("v").agg(F.count("*").alias("c")).where("c > 1").select("v")
-    every = materialise(every.join(met, "v"), "met")
+    all_of = materialise(variants(told), "variants")
+    met = all_of.groupBy("v").agg(F.count("*").alias("c")).where("c > 1").select("v")
+    every = materialise(all_of.join(met, "v"), "met")
+    discard(all_of)
     # earliest line of each variant and place, and of each variant's whole lines and cut lines
     at = every.groupBy("v", "i").agg(F.min("pos").alias("low"), F.count("*").alias("c"))
     whole = F.min(F.when(F.col("i") == 0, F.col("low"))).alias("whole")
@@ -138,7 +139,9 @@ def decisions(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     near = both.where(F.when(F.col("kind") == 0, within_one(F.split("a", " "), F.split("b", " "))).otherwise(F.levenshtein("a", "b", 1) >= 0))
     near = near.select("h", "h2").distinct().withColumn("goes", F.lit(True))
     marked = distinct.select("h", "h2", "n", "first").join(near, ["h", "h2"], "left").where("n > 1 or goes").select("h", "h2", "first", F.coalesce("goes", F.lit(False)).alias("goes"))
-    return occ.select("doc_id", "line_no", "h", "h2", "pos"), materialise(marked, "marked")
+    marked = materialise(marked, "marked")
+    discard(every, told, distinct)
+    return occ.select("doc_id", "line_no", "h", "h2", "pos"), marked
 
 
 def verdicts(docs: DataFrame) -> DataFrame:

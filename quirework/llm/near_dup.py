@@ -37,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import connected_components, keep_one, materialise, small_side, text_or_empty
+from .common import connected_components, keep_one, materialise, sliced, small_side, text_or_empty
 
 TREES, SHALLOW, DEEP, CROWD = 32, 6, 8, 64
 #: A block to verify has at most about so many members and shingles.
@@ -117,7 +117,7 @@ _SIGNED = pa.schema([("doc_id", pa.int64()), ("th", pa.int64()), ("node", pa.int
 def _sign(batches, trees: int):
     """Keys once for each distinct set of a task; copies in other tasks give equal rows."""
     seen: set[bytes] = set()
-    for b in batches:
+    for b in sliced(batches):
         nodes, twins, sizes, his, los = [], [], [], [], []
         for t in b.column(2).to_pylist():
             s = shingles(t)
@@ -244,7 +244,7 @@ def _verify(batches, percent: int):
         a = np.array(out, np.int64).reshape(-1, 2)
         return pa.RecordBatch.from_arrays([pa.array(a[:, 0]), pa.array(a[:, 1])], schema=_EDGES)
 
-    for b in batches:
+    for b in sliced(batches):
         cols = [b.column(i).to_pylist() for i in range(6)]
         for *k, node, sub, asks, t in zip(*cols[:3], *cols[3:6], b.column(6).to_pylist()):
             if k != key:
@@ -309,7 +309,8 @@ def components(docs: DataFrame, block_rows: int = BLOCK_ROWS, block_shingles: in
     cand = materialise(cand.select("comp", "node", "weight", "n_shingles", F.col("r.doc_id").alias("doc_id"), F.col("r.th").alias("th")), "members")
 
     blocks = F.ceil(F.greatest(F.count("*") / F.lit(float(block_rows)), F.sum("n_shingles") / F.lit(float(block_shingles)))).cast("int")
-    comps = cand.groupBy("comp").agg(blocks.alias("nb"), F.max(F.struct("weight", "node"))["node"].alias("pivot"))
+    # as a table of its own, so that a hot component's rows can be split in the joins
+    comps = materialise(cand.groupBy("comp").agg(blocks.alias("nb"), F.max(F.struct("weight", "node"))["node"].alias("pivot")), "comps")
     own = F.pmod(F.xxhash64("node"), F.col("nb")).cast("int")
     placed = cand.join(comps, "comp").withColumn("gi", F.explode(F.when(F.col("node") == F.col("pivot"), F.sequence(F.lit(0), F.col("nb") - 1)).otherwise(F.array(own))))
     placed = placed.select("doc_id", "th", "comp", "gi", F.lit(0).alias("gj"), "node", F.col("node").alias("sub"), F.lit(True).alias("ask"))
@@ -322,7 +323,7 @@ def components(docs: DataFrame, block_rows: int = BLOCK_ROWS, block_shingles: in
         label = connected_components(first, "first").select(F.col("node").alias("l_node"), F.col("comp").alias("l"))
         m = cand.join(large, "comp").join(label, F.col("node") == F.col("l_node"), "left").withColumn("sub", F.coalesce("l", "node")).drop("l", "l_node", "weight")
         m = materialise(m, "apart")
-        most = m.groupBy("comp", "sub").agg(F.count("*").alias("k")).groupBy("comp").agg(F.max(F.struct("k", "sub"))["sub"].alias("main"))
+        most = materialise(m.groupBy("comp", "sub").agg(F.count("*").alias("k")).groupBy("comp").agg(F.max(F.struct("k", "sub"))["sub"].alias("main")), "main")
         m = m.join(most, "comp").withColumn("ask", F.col("sub") != F.col("main")).withColumnRenamed("node", "m_node").drop("comp", "main")
         rows = materialise(near.select("rid", "node").distinct().join(m, F.col("node") == F.col("m_node")).drop("m_node"), "rows")
         asks = rows.where("ask").groupBy(F.col("rid").alias("r")).agg(blocks.alias("na"))

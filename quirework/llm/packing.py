@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_ROWS, materialise, text_or_empty
+from .common import BROADCAST_ROWS, materialise, sliced, text_or_empty
 
 CAPACITY, END_ID = 1024, 2
 
@@ -75,7 +75,7 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, end_id: int = END_ID, voca
     def run(batches):
         enc = encoder(path)
         special = "all" if added_tokens else set()
-        for b in batches:
+        for b in sliced(batches):
             rows = []
             for d, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 raw = array.array("I", enc.encode(t or "", allowed_special=special, disallowed_special=()))

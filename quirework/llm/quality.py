@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, text_or_empty
+from .common import materialise, sliced, text_or_empty
 
 SAMPLE, BUCKETS, RIDGE = 4000, 1024, 2e-3
 LABELLERS = ("symbols", "variety", "capitals", "bars", "shouts", "function_words", "word_length", "sentences", "repeats")
@@ -197,7 +197,7 @@ _READ = pa.schema([("doc_id", pa.int64()), ("pattern", pa.string()), ("at", pa.l
 
 def _read(batches):
     f = Features()
-    for b in batches:
+    for b in sliced(batches):
         rows = [(pattern(votes(t)), *f.of(t)) for t in b.column(1).to_pylist()]
         cols = [pa.array([r[k] for r in rows], _READ.field(k + 1).type) for k in range(3)]
         yield pa.RecordBatch.from_arrays([b.column(0), *cols], schema=_READ)

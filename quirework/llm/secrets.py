@@ -29,7 +29,7 @@ from collections import Counter
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import text_or_empty
+from .common import sliced, text_or_empty
 
 KINDS = ("assign", "access", "hex", "lexed")
 _ASSIGN = re.compile(r"""(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -205,7 +205,7 @@ def scan_text(text: str | None) -> tuple[int, int, int, str, str]:
 
 
 def _scan(batches):
-    for b in batches:
+    for b in sliced(batches):
         rows = [scan_text(t) for t in b.column(1).to_pylist()]
         cols = list(zip(*rows)) if rows else [[]] * 5
         yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(c, f.type) for c, f in zip(cols, list(_OUT)[1:]))], schema=_OUT)

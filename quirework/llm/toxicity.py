@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import free_name, text_or_empty
+from .common import free_name, sliced, text_or_empty
 
 SAMPLE, LANDMARKS = 1500, 64
 DECAY, ORDER, SHARP = 0.7, 3, 2
@@ -50,7 +50,7 @@ FLOORS, HALF = (0.4, 0.55, 0.7, 0.85, 0.99), 0.01
 #: A window has at most so many characters more than its landmark.
 SLACK = 3
 #: So many words are remembered by a worker.
-MEMORY = 150_000
+MEMORY = 150_000  # twice, the words met of late and those before
 
 _LOOKS = str.maketrans({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "!": "i"})
 _LATIN = frozenset("abcdefghijklmnopqrstuvwxyz" + "".join(map(chr, range(0xDF, 0x100)))) - {"\xf7"}
@@ -369,7 +369,7 @@ class Model:
         own = normalised_kernel([x for x in self.landmarks for _ in range(n)], self.landmarks * n).reshape(n, n).astype(np.float64)
         vals, vecs = np.linalg.eigh(own + 1e-3 * np.eye(n))
         self.map = (vecs / np.sqrt(np.maximum(vals, 1e-3))) @ vecs.T
-        self.hot, self.seen = {}, set()
+        self.hot, self.seen, self.old = {}, set(), set()
         rows = list(self.features(docs))
         s = np.where(y > 0, 1.0, -1.0)
         # a toxic text without any landmark teaches nothing
@@ -417,10 +417,14 @@ class Model:
             a = float(np.clip(a + np.clip(g / h, -1, 1), 0.5, 6))
         return a
 
-    def learn(self, new: list[str]) -> None:
-        """Remembers the values of raw words."""
-        if len(self.seen) + len(new) > MEMORY:
-            self.seen, self.hot = set(), {}
+    def learn(self, distinct: set[str]) -> None:
+        """Remembers the values of raw words; those not met for long are forgotten."""
+        new = distinct - self.seen - self.old
+        self.seen |= distinct
+        if len(self.seen) > MEMORY:
+            self.old, self.seen = self.seen, set()
+            known = self.old
+            self.hot = {w: v for w, v in self.hot.items() if w in known}
         of = {w: forms(w) for w in new}
         vocabulary = sorted(set().union(*of.values())) if of else []
         rows, v = self.kernel.values(vocabulary)
@@ -429,12 +433,10 @@ class Model:
             got = [value[f] for f in fs if f in value]
             if got:
                 self.hot[w] = np.max(got, axis=0)
-        self.seen.update(new)
 
     def features(self, docs: list[Counter]) -> np.ndarray:
         """For each document, the mapped largest values, their share of words and their number."""
-        distinct = set().union(*docs) if docs else set()
-        self.learn(list(distinct - self.seen) if len(distinct | self.seen) <= MEMORY else list(distinct))
+        self.learn(set().union(*docs))
         n = len(self.landmarks)
         top, total = np.zeros((len(docs), n)), np.zeros((len(docs), n))
         size = np.ones(len(docs))
@@ -475,7 +477,7 @@ class Model:
             floors, inside, harmless = state["kernel"]
             model.kernel = Kernel(model.landmarks, floors, inside, set(harmless))
             model.map, model.w, model.a = state["map"], state["w"], state["a"]
-            model.hot, model.seen = {}, set()
+            model.hot, model.seen, model.old = {}, set(), set()
         return model
 
 
@@ -484,7 +486,7 @@ def held_out(c="doc_id"):
 
 
 def _told(batches):
-    for b in batches:
+    for b in sliced(batches):
         rows = [tokens(t) for t in b.column(1).to_pylist()]
         yield pa.RecordBatch.from_arrays(
             [b.column(0), pa.array([list(r) for r in rows], pa.list_(pa.string())), pa.array([list(r.values()) for r in rows], pa.list_(pa.int64())), b.column(2)], names=["doc_id", "w", "n", "y"]
@@ -514,10 +516,8 @@ def _scorer(model: Model, at_text: int, names: list[str]):
 
     def run(batches):
         known = Model.loads(blob)
-        for b in batches:
-            for at in range(0, max(1, b.num_rows), 500):
-                part = b.slice(at, 500)
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(known.scores(part.column(at_text).to_pylist()), pa.float64())], names=names)
+        for part in sliced(batches):
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(known.scores(part.column(at_text).to_pylist()), pa.float64())], names=names)
 
     return run
 
