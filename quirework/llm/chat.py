@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_or_empty
+from .common import materialise, text_or_empty
 
 #: Tool -> argument -> (type, required).
 SCHEMAS = {
@@ -49,9 +49,8 @@ def _rest(m: Column, *known: str) -> Column:
     return F.when(F.size(rest) > 0, rest)
 
 
-def valid_call(name: Column, args: Column, schemas: dict = SCHEMAS) -> Column:
-    """Whether the arguments of a call, a variant, fit the schema of its tool."""
-    fields_of = F.when(args.isNull() | F.is_variant_null(args), F.create_map().cast("map<string,variant>")).otherwise(_get(args, "$", "map<string,variant>"))
+def valid_call(name: Column, fields_of: Column, schemas: dict = SCHEMAS) -> Column:
+    """Whether the arguments of a call, a map of variants or null if they are none, fit the schema of its tool."""
     out = F.lit(False)
     for tool, fields in sorted(schemas.items()):
         fits = F.size(F.array_except(F.map_keys(fields_of), F.array(*map(F.lit, sorted(fields))))) == 0
@@ -62,22 +61,39 @@ def valid_call(name: Column, args: Column, schemas: dict = SCHEMAS) -> Column:
     return F.coalesce(out, F.lit(False))
 
 
-def _call(c: Column, schemas: dict) -> Column:
-    """One call in canonical form; keys stand in sorted order."""
-    own = _get(c, "$", "map<string,variant>")
-    inner = _get(c, "$.function", "map<string,variant>")
-    name = F.coalesce(_get(c, "$.name", "string"), _get(c, "$.function.name", "string"))
-    raw = F.coalesce(_get(c, "$.arguments", "variant"), _get(c, "$.function.arguments", "variant"))
+def _opened(c: Column) -> Column:
+    """A call as given with what is read from it; each step is a column of its own, for lambdas share nothing."""
+    return F.struct(
+        c.alias("c"), _get(c, "$", "map<string,variant>").alias("own"), _get(c, "$.function", "map<string,variant>").alias("inner"), _get(c, "$.name", "string").alias("name"),
+        _get(c, "$.function.name", "string").alias("inner_name"), _get(c, "$.arguments", "variant").alias("args"), _get(c, "$.function.arguments", "variant").alias("inner_args"),
+    )
+
+
+def _arguments(x: Column) -> Column:
+    """With the arguments as an object, where they are or hold one."""
+    raw = F.coalesce(x["args"], x["inner_args"])
     args = F.when(F.schema_of_variant(raw) == "STRING", F.coalesce(F.try_parse_json(raw.cast("string")), raw)).otherwise(raw)
+    return F.struct(x.alias("x"), args.alias("args"))
+
+
+def _fields(y: Column) -> Column:
+    none = y["args"].isNull() | F.is_variant_null(y["args"])
+    return F.struct(y["x"].alias("x"), y["args"].alias("args"), F.when(none, F.create_map().cast("map<string,variant>")).otherwise(_get(y["args"], "$", "map<string,variant>")).alias("fields"))
+
+
+def _call(z: Column, schemas: dict) -> Column:
+    """One call in canonical form; keys stand in sorted order."""
+    x = z["x"]
+    name = F.coalesce(x["name"], x["inner_name"])
     # what is no object is kept whole
-    extra = F.when(own.isNull(), F.create_map(F.lit("value"), c)).otherwise(_rest(own, "id", "name", "arguments", "function"))
+    extra = F.when(x["own"].isNull(), F.create_map(F.lit("value"), x["c"])).otherwise(_rest(x["own"], "id", "name", "arguments", "function"))
     # a function that is no object, or a second name or arguments in it
-    odd = F.when(inner.isNull(), _get(c, "$.function", "variant"))
-    twice = F.when(_get(c, "$.name", "string").isNotNull() & _get(c, "$.function.name", "string").isNotNull(), inner["name"])
-    again = F.when(_get(c, "$.arguments", "variant").isNotNull(), _get(c, "$.function.arguments", "variant"))
+    odd = F.when(x["inner"].isNull(), _get(x["c"], "$.function", "variant"))
+    twice = F.when(x["name"].isNotNull() & x["inner_name"].isNotNull(), x["inner"]["name"])
+    again = F.when(x["args"].isNotNull(), x["inner_args"])
     return F.struct(
-        args.alias("arguments"), extra.alias("extra"), F.coalesce(odd, again).alias("function"), _rest(inner, "name", "arguments").alias("function_extra"), twice.alias("function_name"),
-        _get(c, "$.id", "string").alias("id"), name.alias("name"), valid_call(name, args, schemas).alias("valid"),
+        z["args"].alias("arguments"), extra.alias("extra"), F.coalesce(odd, again).alias("function"), _rest(x["inner"], "name", "arguments").alias("function_extra"), twice.alias("function_name"),
+        _get(x["c"], "$.id", "string").alias("id"), name.alias("name"), valid_call(name, z["fields"], schemas).alias("valid"),
     )
 
 
@@ -90,7 +106,8 @@ def read_messages(messages: DataFrame, schemas: dict = SCHEMAS) -> DataFrame:
     m = m.withColumn("o", _get(F.col("v"), "$", "map<string,variant>"))
     known = F.map_contains_key("o", "tool_calls") | F.map_contains_key("o", "tool_call_id")
     m = m.withColumn("raw", F.when(known, _get(F.col("v"), "$.tool_calls", "array<variant>"))).withColumn("known", F.coalesce(known, F.lit(False)))
-    m = m.withColumn("calls", F.transform("raw", lambda c: _call(c, schemas)))
+    for step in (_opened, _arguments, _fields, lambda z: _call(z, schemas)):
+        m = m.withColumn("calls", F.transform("calls" if "calls" in m.columns else "raw", step))
     # calls that are no list, and a role of the object's own, are kept as extra
     extra = F.when(F.col("raw").isNull(), _rest(F.col("o"), "content", "tool_call_id")).otherwise(_rest(F.col("o"), "content", "tool_call_id", "tool_calls"))
     full = F.struct(F.col("o")["content"].alias("content"), extra.alias("extra"), "role", F.col("o")["tool_call_id"].alias("tool_call_id"), F.when(F.size("calls") > 0, F.col("calls")).alias("tool_calls"))
@@ -107,7 +124,7 @@ def read_messages(messages: DataFrame, schemas: dict = SCHEMAS) -> DataFrame:
 
 def format_messages(messages: DataFrame, schemas: dict = SCHEMAS) -> DataFrame:
     """conv_id, turn, role, at_turn, at_rank, n_calls, n_valid, n_answered, status, message (canonical JSON)."""
-    m = read_messages(messages, schemas)
+    m = materialise(read_messages(messages, schemas), "messages")  # texts are parsed once
     # a hot conversation is reduced before the shuffle, and joins are by (conversation, identifier)
     made = m.where(F.size("ids") > 0).select("conv_id", "turn", F.explode("ids").alias("id")).groupBy("conv_id", "id").agg(F.min("turn").alias("call_turn"))
     given = m.where("answers is not null").groupBy(F.col("conv_id").alias("g_conv"), F.col("answers").alias("g_id")).agg(F.count("*").alias("n"))
