@@ -78,11 +78,26 @@ def small_side(df: DataFrame, name: str, most: int = BROADCAST_ROWS) -> DataFram
 SLICE_ROWS = 500
 
 
+def tidy() -> None:
+    """Gives memory that is free back to the machine; workers are used again, and would hold it."""
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+    if trim:
+        trim(0)
+
+
 def sliced(batches, rows: int = SLICE_ROWS):
     """Arrow batches as smaller ones, without copies; an empty one stays."""
     for b in batches:
         for at in range(0, max(1, b.num_rows), rows):
             yield b.slice(at, rows)
+    tidy()
 
 
 def free_name(df: DataFrame, name: str) -> str:

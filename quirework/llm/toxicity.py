@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import free_name, sliced, text_or_empty
+from .common import free_name, sliced, text_or_empty, tidy
 
 SAMPLE, LANDMARKS = 1500, 64
 DECAY, ORDER, SHARP = 0.7, 3, 2
@@ -216,14 +216,17 @@ class Kernel:
         return rows, out
 
 
-def unlike(docs: list[Counter]) -> list[Counter]:
+def unlike(docs: list[tuple], names: list[str]) -> list[tuple]:
     """One of the documents whose rare words have the same minimum hash, as those of near copies mostly do.
 
     Else what copies of one toxic text share would look like an insult.
     """
-    n = Counter(w for d in docs for w in d)
-    rare = len(docs) * 0.03 + 1
-    return list({min((zlib.crc32(w.encode("utf-8", "surrogatepass")) for w in d if n[w] <= rare), default=-1 - i): d for i, d in enumerate(docs)}.values())
+    n = np.zeros(len(names), np.int64)
+    for at, _ in docs:
+        n[at] += 1
+    rare = n <= len(docs) * 0.03 + 1
+    crc = np.array([zlib.crc32(w.encode("utf-8", "surrogatepass")) for w in names], np.int64)
+    return list({int(crc[at][rare[at]].min(initial=2**32 + i)): (at, c) for i, (at, c) in enumerate(docs)}.values())
 
 
 def telling(a, b, na: int, nb: int):
@@ -234,17 +237,20 @@ def telling(a, b, na: int, nb: int):
     return np.where(a * nb > b * na, g, 0.0)
 
 
-def find_landmarks(toxic: list[Counter], other: list[Counter]) -> list[str]:
+def find_landmarks(toxic: list[tuple], other: list[tuple], vocabulary: list[str]) -> list[str]:
     """Beginnings of words that tell toxic texts, the most telling first.
 
-    Words that one explains no longer speak for another.
+    Words that one explains no longer speak for another.  Documents are numbers of words in vocabulary, and counts.
     """
     na, nb = len(toxic), len(other)
-    inside, outside = (Counter() for _ in "ab")
-    for docs, total in ((toxic, inside), (other, outside)):
-        for d in docs:
-            for w, c in d.items():
-                total[w] += min(c, 3)
+    totals = []
+    for docs in (toxic, other):
+        total = np.zeros(len(vocabulary), np.int64)
+        for at, c in docs:
+            total[at] += np.minimum(c, 3)
+        totals.append({vocabulary[i]: int(total[i]) for i in np.flatnonzero(total)})
+    inside, outside = totals
+    number = {w: i for i, w in enumerate(vocabulary)}
     marked = {w: OPEN + w + CLOSE for w in inside}
 
     def least(w: str) -> int:
@@ -283,7 +289,9 @@ def find_landmarks(toxic: list[Counter], other: list[Counter]) -> list[str]:
             break
         names = [x for x in names if scores[x] >= MIN_TELLING and x != g]
         words = [w for w in by_start[g[:3]] if marked[w].startswith(g) and w not in gone]
-        if sum(any(w in d for w in words) for d in toxic) < MIN_SUPPORT:
+        mine = np.zeros(len(vocabulary), bool)
+        mine[[number[w] for w in words]] = True
+        if sum(bool(mine[at].any()) for at, _ in toxic) < MIN_SUPPORT:
             continue
         # as much of it as nearly all of these words share
         long = g
@@ -316,34 +324,45 @@ class Model:
         self.share, self.landmarks = share, []
 
     def fit(self, texts: list[str], labels: list[int]) -> Model:
-        return self.fit_tokens([tokens(t) for t in texts], labels)
+        return self.fit_tokens((tokens(t) for t in texts), labels)
 
-    def fit_tokens(self, docs: list[Counter], labels: list[int]) -> Model:
+    def fit_tokens(self, docs, labels: list[int]) -> Model:
+        """docs: the counters of the texts' raw words, one at a time; they are held as numbers."""
         y = np.array(labels)
         self.share = float(y.mean()) if len(y) else 0.0
         if len(set(labels)) < 2:
             return self
-        known = {w: forms(w) for w in set().union(*docs)}
-        folded = []
+        of_word: dict[str, int] = {}
+        raw = []
         for d in docs:
-            c = Counter()
-            for w, n in d.items():
-                for f in known[w]:
-                    c[f] += n
-            folded.append(c)
+            at = np.fromiter((of_word.setdefault(w, len(of_word)) for w in d), np.int32, len(d))
+            raw.append((at, np.fromiter(d.values(), np.int32, len(d))))
+        of_form: dict[str, int] = {}
+        first, flat = [0], []
+        for w in of_word:
+            flat += [of_form.setdefault(f, len(of_form)) for f in sorted(forms(w))]
+            first.append(len(flat))
+        vocabulary, n_words = list(of_form), len(of_word)
+        del of_word, of_form
+        first, flat = np.array(first), np.array(flat, np.int32)
+        folded = []
+        for at, c in raw:
+            sizes = first[at + 1] - first[at]
+            place = np.repeat(first[at] - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
+            f, back = np.unique(flat[place], return_inverse=True)
+            folded.append((f, np.bincount(back, np.repeat(c, sizes), len(f)).astype(np.int64)))
         toxic, other = [d for d, t in zip(folded, y) if t], [d for d, t in zip(folded, y) if not t]
-        self.landmarks = find_landmarks(unlike(toxic), other)
+        self.landmarks = find_landmarks(unlike(toxic, vocabulary), other, vocabulary)
         if not self.landmarks:
             return self
         n = len(self.landmarks)
-        vocabulary = sorted(set().union(*folded))
-        where = {w: i for i, w in enumerate(vocabulary)}
         # in how many texts of each class each word is, then what each value is worth
         df = np.zeros((2, len(vocabulary)))
-        for d, t in zip(folded, y):
-            df[int(t), [where[w] for w in d]] += 1
+        for (f, _), t in zip(folded, y):
+            df[int(t), f] += 1
         plain = Kernel(self.landmarks)
         na, nb = len(toxic), len(other)
+        del folded, toxic, other
 
         def floors(rows: np.ndarray, v: np.ndarray) -> list[float]:
             out = []
@@ -370,7 +389,23 @@ class Model:
         vals, vecs = np.linalg.eigh(own + 1e-3 * np.eye(n))
         self.map = (vecs / np.sqrt(np.maximum(vals, 1e-3))) @ vecs.T
         self.hot, self.seen, self.old = {}, set(), set()
-        rows = list(self.features(docs))
+        # raw words take the largest values of their forms
+        r, v = self.kernel.values(vocabulary)
+        row = np.full(len(vocabulary), -1)
+        row[r] = np.arange(len(r))
+        hot = np.flatnonzero(row[flat] >= 0)
+        word = np.searchsorted(first, hot, "right") - 1
+        value = np.zeros((len(np.unique(word)), n), np.float32)
+        at_word = np.full(n_words, -1)
+        at_word[np.unique(word)] = np.arange(len(value))
+        np.maximum.at(value, at_word[word], v[row[flat[hot]]])
+        top, total = np.zeros((len(raw), n)), np.zeros((len(raw), n))
+        for i, (at, c) in enumerate(raw):
+            k = at_word[at]
+            if (k >= 0).any():
+                x = value[k[k >= 0]]
+                top[i], total[i] = x.max(0), (x * c[k >= 0, None]).sum(0)
+        rows = list(self._mapped(top, total, np.array([max(1, c.sum()) for _, c in raw])))
         s = np.where(y > 0, 1.0, -1.0)
         # a toxic text without any landmark teaches nothing
         some = [i for i, r in enumerate(rows) if r.any() or s[i] < 0]
@@ -448,6 +483,10 @@ class Model:
                     v = self.hot[w]
                     np.maximum(top[i], v, out=top[i])
                     total[i] += d[w] * v
+        return self._mapped(top, total, size)
+
+    def _mapped(self, top: np.ndarray, total: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """Features of documents from largest values, sums of values and numbers of words."""
         share = total / size[:, None]
         every = total.sum(1)
         rate = every / size
@@ -494,9 +533,16 @@ def _told(batches):
 
 
 def _fitted(batches):
-    rows = sorted((d, y, list(zip(w, n))) for b in batches for d, w, n, y in zip(*(c.to_pylist() for c in b.columns)))
-    model = Model().fit_tokens([Counter(dict(r)) for *_, r in rows], [y for _, y, _ in rows])
-    yield pa.RecordBatch.from_arrays([pa.array([model.dumps()], pa.binary())], names=["model"])
+    # in the order of doc_id; words stay in their Arrow lists until their turn
+    parts = list(batches)
+    if not parts:
+        return
+    held = pa.Table.from_batches(parts).sort_by("doc_id")
+    labels = held.column("y").to_pylist()
+    docs = (Counter(dict(zip(w, n))) for b in held.to_batches(max_chunksize=50) for w, n in zip(b.column(1).to_pylist(), b.column(2).to_pylist()))
+    blob = Model().fit_tokens(docs, labels).dumps()
+    tidy()
+    yield pa.RecordBatch.from_arrays([pa.array([blob], pa.binary())], names=["model"])
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
