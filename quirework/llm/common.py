@@ -32,13 +32,21 @@ def _store(spark: SparkSession, name: str):
     return path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), path
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
+#: A table known to have few narrow rows (ids, hashes, counts) is written by a task for so many, but by LEAST_TASKS at least.
+TASK_ROWS, LEAST_TASKS = 50_000, 8
+
+
+def materialise(df: DataFrame, name: str, most: int | None = None) -> DataFrame:
     """Write df as a Parquet table in the shared folder and read it back.
 
     This cuts the lineage, survives lost executors, and gives the optimizer real sizes.  The table goes
-    when the application ends, or earlier by :func:`discard`.
+    when the application ends, or earlier by :func:`discard`.  ``most`` tells that it has at most so many
+    rows, all narrow and cheap to make: then it gets as many files as they need, whatever the number of
+    shuffle partitions.  Each file costs an executor three processes in a local file system.
     """
     spark = df.sparkSession
+    if most is not None:
+        df = df.coalesce(max(LEAST_TASKS, -(-most // TASK_ROWS)))
     folder = f"{shared_dir(spark)}/quirework-{uuid.uuid4().hex}"
     df.write.parquet(f"{folder}/{name}")
     fs, path = _store(spark, folder)
@@ -131,18 +139,19 @@ def keep_one(docs: DataFrame, verdicts: DataFrame, key: Column, name: str) -> Da
     return out.unionAll(docs.join(again, same(again)).dropDuplicates([at, k]).select(*docs.columns))
 
 
-def connected_components(edges: DataFrame, name: str = "cc", max_rounds: int = 60) -> DataFrame:
+def connected_components(edges: DataFrame, name: str = "cc", max_rounds: int = 60, most: int | None = None) -> DataFrame:
     """(u, v) edges of long ids -> (node, comp), comp = the smallest id in the component.
 
     Alternating large-star and small-star rounds over DataFrames: each round is aggregations
     with map-side combining and equi-joins (a hub's rows are salted), and its result is
     written to the shared folder.  Self edges and nulls are ignored; an empty table gives an
-    empty result.  Nodes that are in no edge are not returned.
+    empty result.  Nodes that are in no edge are not returned.  ``most``: a bound of the edges, if
+    they are cheap to make and one is known.
     """
     cur = materialise(
-        edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), f"{name}-0"
+        edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), f"{name}-0", most
     )
-    state = None
+    state, rows = None, cur.count()
     for i in range(1, max_rounds + 1):
         both = cur.union(cur.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
@@ -157,9 +166,11 @@ def connected_components(edges: DataFrame, name: str = "cc", max_rounds: int = 6
             .select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("e"))
             .select("e.u", "e.v").where("u <> v").distinct()
         )
-        last, cur = cur, materialise(small, f"{name}-{i}")
+        # an edge gives one edge at most in the first half of a round, and two in the second
+        last, cur = cur, materialise(small, f"{name}-{i}", 2 * rows)
         discard(last)
         now = cur.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        rows = now[0]
         if now == state:
             break
         state = now

@@ -300,17 +300,18 @@ def components(docs: DataFrame, block_rows: int = BLOCK_ROWS, block_shingles: in
     """One row per document: doc_id, th (hash of its text), n_shingles, component_id, kept."""
     signed = signed_sets(docs, tree_count(percent))
     narrow = signed.select("doc_id", "th", "node", "n_shingles")
+    n_docs = signed.count()
     # one row of each distinct set stands for it; which one doesn't matter, min over (doc_id, th) makes it stable
-    sets = materialise(narrow.where("node is not null").groupBy("node").agg(F.min(F.struct("doc_id", "th")).alias("r"), F.min("doc_id").alias("low"), F.min("n_shingles").alias("n_shingles"), F.count("*").alias("copies")), "sets")
+    sets = materialise(narrow.where("node is not null").groupBy("node").agg(F.min(F.struct("doc_id", "th")).alias("r"), F.min("doc_id").alias("low"), F.min("n_shingles").alias("n_shingles"), F.count("*").alias("copies")), "sets", n_docs)
     near, border = forest(signed, crowd)
-    cand = connected_components(near.where("prev <> node").select(F.col("node").alias("u"), F.col("prev").alias("v")).union(border), "candidates").withColumnRenamed("node", "c_node")
+    cand = connected_components(near.where("prev <> node").select(F.col("node").alias("u"), F.col("prev").alias("v")).union(border), "candidates", most=near.count()).withColumnRenamed("node", "c_node")
     weight = near.groupBy(F.col("node").alias("w_node")).agg(F.sum("n").alias("weight"))
     cand = cand.join(sets, F.col("c_node") == F.col("node")).join(weight, F.col("node") == F.col("w_node"), "left")
     cand = materialise(cand.select("comp", "node", "weight", "n_shingles", F.col("r.doc_id").alias("doc_id"), F.col("r.th").alias("th")), "members")
 
     blocks = F.ceil(F.greatest(F.count("*") / F.lit(float(block_rows)), F.sum("n_shingles") / F.lit(float(block_shingles)))).cast("int")
     # as a table of its own, so that a hot component's rows can be split in the joins
-    comps = materialise(cand.groupBy("comp").agg(blocks.alias("nb"), F.max(F.struct("weight", "node"))["node"].alias("pivot")), "comps")
+    comps = materialise(cand.groupBy("comp").agg(blocks.alias("nb"), F.max(F.struct("weight", "node"))["node"].alias("pivot")), "comps", n_docs)
     own = F.pmod(F.xxhash64("node"), F.col("nb")).cast("int")
     placed = cand.join(comps, "comp").withColumn("gi", F.explode(F.when(F.col("node") == F.col("pivot"), F.sequence(F.lit(0), F.col("nb") - 1)).otherwise(F.array(own))))
     placed = placed.select("doc_id", "th", "comp", "gi", F.lit(0).alias("gj"), "node", F.col("node").alias("sub"), F.lit(True).alias("ask"))
@@ -320,7 +321,7 @@ def components(docs: DataFrame, block_rows: int = BLOCK_ROWS, block_shingles: in
     large = materialise(comps.where("nb > 1").select("comp"), "large")
     links = first
     if not large.isEmpty():
-        label = connected_components(first, "first").select(F.col("node").alias("l_node"), F.col("comp").alias("l"))
+        label = connected_components(first, "first", most=first.count()).select(F.col("node").alias("l_node"), F.col("comp").alias("l"))
         m = cand.join(large, "comp").join(label, F.col("node") == F.col("l_node"), "left").withColumn("sub", F.coalesce("l", "node")).drop("l", "l_node", "weight")
         m = materialise(m, "apart")
         most = materialise(m.groupBy("comp", "sub").agg(F.count("*").alias("k")).groupBy("comp").agg(F.max(F.struct("k", "sub"))["sub"].alias("main")), "main")
@@ -337,7 +338,7 @@ def components(docs: DataFrame, block_rows: int = BLOCK_ROWS, block_shingles: in
 
     label = connected_components(links, "links")
     named = sets.join(label.withColumnRenamed("node", "l_node"), F.col("node") == F.col("l_node"), "left").select("node", "low", "copies", "comp")
-    named = materialise(named.where("comp is not null or copies > 1"), "named")
+    named = materialise(named.where("comp is not null or copies > 1"), "named", n_docs)
     lows = named.groupBy(F.coalesce("comp", "node").alias("comp")).agg(F.min("low").alias("low"))
     final = named.select("node", F.coalesce("comp", "node").alias("comp")).join(lows, "comp").select(F.col("node").alias("f_node"), F.col("low"))
     out = narrow.join(final, F.col("node") == F.col("f_node"), "left")

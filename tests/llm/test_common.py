@@ -1,6 +1,6 @@
 import random
 
-from quirework.llm.common import connected_components, small_side
+from quirework.llm.common import LEAST_TASKS, connected_components, small_side
 
 
 def test_components_match_union_find(spark):
@@ -27,3 +27,19 @@ def test_small_side_is_unmarked_beyond_its_bound(spark):
     big = spark.range(50)
     plan = lambda most: big.join(small_side(spark.range(20), "x", most), "id")._jdf.queryExecution().optimizedPlan().toString()
     assert "broadcast" in plan(20) and "broadcast" not in plan(19)
+
+
+def test_few_edges_make_few_files_in_many_partitions(spark):
+    edges = spark.createDataFrame([(i - i % 3, i) for i in range(900)], "u long, v long")
+    held = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in held}
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        got = connected_components(edges)
+        files = got.inputFiles()
+        assert sorted((r.node, r.comp) for r in got.collect()) == [(i, i - i % 3) for i in range(900)]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len(files) <= LEAST_TASKS
