@@ -18,12 +18,12 @@ def _c(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def strip(c: str | Column) -> Column:
-    return F.btrim(_c(c), F.lit(BLANKS))
+def strip(c: str | Column, blanks: str = BLANKS) -> Column:
+    return F.btrim(_c(c), F.lit(blanks))
 
 
-def rstrip(c: str | Column) -> Column:
-    return F.rtrim(_c(c), F.lit(BLANKS))
+def rstrip(c: str | Column, blanks: str = BLANKS) -> Column:
+    return F.rtrim(_c(c), F.lit(blanks))
 
 
 def newlines(c: str | Column) -> Column:
@@ -31,8 +31,8 @@ def newlines(c: str | Column) -> Column:
     return F.regexp_replace(_c(c), r"\r\n?", "\n")
 
 
-def split_lines(c: str | Column) -> Column:
-    return F.split(_c(c), LB)
+def split_lines(c: str | Column, breaks: str = LB) -> Column:
+    return F.split(_c(c), breaks)
 
 
 def is_blank(c: str | Column) -> Column:

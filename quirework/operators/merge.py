@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import W, is_blank, newlines, ordered_concat, split_lines, strip
+from ..functions.text import LB, W, is_blank, newlines, ordered_concat, split_lines, strip
 
 _HEADING = f"^{W}*#{{1,6}}{W}+(.+?){W}*$"
 
@@ -16,8 +16,8 @@ def join_pages(pages: DataFrame, book: str, order: list[str], text: str = "text"
     return p.groupBy(book).agg(ordered_concat(order, "_t", "\n\n").alias("text"))
 
 
-def to_lines(docs: DataFrame, key: list[str], text: str = "text") -> DataFrame:
-    return docs.select(*key, F.posexplode(split_lines(text)).alias("line_no", "line"))
+def to_lines(docs: DataFrame, key: list[str], text: str = "text", breaks: str = LB) -> DataFrame:
+    return docs.select(*key, F.posexplode(split_lines(text, breaks)).alias("line_no", "line"))
 
 
 def heading_title(line: Column) -> Column:
